@@ -1,0 +1,81 @@
+"""Streaming queries over an event feed. The window operators are those used on tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
+
+from tidemill.operators import sliding_average, tumbling_totals
+from tidemill.operators.quality import is_late
+
+DELAY_S = 5.0
+
+
+def watermarked(events: DataFrame, ts: str = "timestamp", delay_s: float = DELAY_S) -> DataFrame:
+    return events.withWatermark(ts, f"{round(delay_s * 1000)} milliseconds")
+
+
+def counting_late(
+    events: DataFrame, ts: str = "timestamp", tolerance_s: float = DELAY_S, name: str = "lateness"
+) -> DataFrame:
+    """Report ``total_events`` and ``late_events`` of each micro-batch under ``observedMetrics``.
+
+    Lateness is measured against processing time, before any event is dropped. The number of rows dropped
+    by the watermark would not do: Spark counts it after events have been merged into groups.
+    """
+    late = is_late(ts, F.current_timestamp(), tolerance_s)
+    return events.observe(
+        name, F.count(F.lit(1)).alias("total_events"), F.count_if(late).alias("late_events")
+    )
+
+
+def tumbling_stream(events: DataFrame, size_s: int = 10, delay_s: float = DELAY_S, **columns: str) -> DataFrame:
+    """Totals per window and category; a window is final once the watermark has passed its end."""
+    ts = columns.get("ts", "timestamp")
+    return tumbling_totals(watermarked(events, ts, delay_s), size_s=size_s, **columns)
+
+
+def sliding_stream(
+    events: DataFrame, size_s: int = 30, slide_s: int = 10, delay_s: float = DELAY_S, **columns: str
+) -> DataFrame:
+    """Mean amount per sliding window and region."""
+    ts = columns.get("ts", "timestamp")
+    return sliding_average(watermarked(events, ts, delay_s), size_s=size_s, slide_s=slide_s, **columns)
+
+
+def deduplicated_stream(
+    events: DataFrame, event_id: str = "event_id", ts: str = "timestamp", delay_s: float = DELAY_S
+) -> DataFrame:
+    """First arrival of each event id; ids are forgotten once the watermark is ``delay_s`` past them."""
+    return watermarked(events, ts, delay_s).dropDuplicatesWithinWatermark([event_id])
+
+
+def start(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "parquet",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append a stream to a directory of files, each micro-batch exactly once.
+
+    Without ``every`` the query handles what is there and ends; with it, it looks for new files at that
+    interval until stopped. Started again with the same checkpoint it goes on where it ended.
+    """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        stream.writeStream.format(fmt)
+        .outputMode("append")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Handle what is there, then return the ended query, whose progress can still be read."""
+    query = start(stream, path, checkpoint, fmt)
+    query.awaitTermination()
+    return query
