@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _UNHASHABLE = (T.MapType, T.VariantType)
 
 
-def _row_salt(df: DataFrame, spread: int) -> Column:
-    """Bucket 0..spread-1 from the row's content, so that a task that is run again puts a row where it was."""
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
-    return F.pmod(F.xxhash64(*hashable), F.lit(spread)).cast("int")
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns to spread rows by. Content, unlike a random number, is the same when a task is run again."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
 
 
 def attach_by_key(
@@ -23,7 +24,6 @@ def attach_by_key(
     keys: Sequence[str],
     weight: str,
     max_hot: int = 65_536,
-    spread: int = 512,
 ) -> DataFrame:
     """Left join of ``features``, which has one row per key, onto the rows it was computed from.
 
@@ -32,32 +32,38 @@ def attach_by_key(
 
     * Keys with more than ``1/max_hot`` of all rows go through a broadcast. The weights add up to the row
       count, so there are fewer than ``max_hot`` such keys however large the data is.
-    * All other keys go through an ordinary join, which Spark broadcasts or shuffles by measured size. Rows
-      already served, and rows with a NULL key, which match nothing, carry a salt there, so no partition
-      gets more than its share of them.
+    * All other keys go through an ordinary join, which Spark broadcasts or shuffles by measured size. It is
+      made on a hash of the key, and rows that are already served or have a NULL key, which matches nothing,
+      take a hash of their content instead, which spreads them.
 
     The rows wait for the broadcast of the hot keys. By then the size of ``features`` has been measured, and
     adaptive execution drops the shuffle of the rows if ``features`` turns out to be small.
     """
     keys = list(keys)
     names = [c for c in features.columns if c not in keys and c != weight]
-    total = features.select(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * F.lit(max_hot) > total
+    # The three uses of ``features`` should read the same shuffle. So the filter that the joins imply is given
+    # to all of them, and a hash keeps the columns in the plan that the total has no use for.
+    features = features.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    sums = F.struct(F.sum(weight).alias("total"), F.max(F.xxhash64(*features.columns)).alias("_all"))
+    is_hot = F.col(weight) * F.lit(max_hot) > features.select(sums).scalar().getField("total")
     hot = features.where(is_hot).select(*keys, F.struct(*names).alias("_hot"))
     cold = features.where(~is_hot).select(
-        *keys,
-        F.struct(*names).alias("_cold"),
-        # Always 0. A literal would be folded into the join condition and no longer be part of the join key.
-        F.when(F.col(weight) < 0, 1).otherwise(0).alias("_salt"),
+        F.xxhash64(*keys).alias("_cold_at"),
+        *[F.col(k).alias(f"_of_{k}") for k in keys],
+        *[F.col(n).alias(f"_cold_{n}") for n in names],
+    )
+    served = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
+    rows = df.join(F.broadcast(hot), keys, "left").withColumn(
+        "_at", F.when(served, F.xxhash64(*_hashable(df))).otherwise(F.xxhash64(*keys))
+    )
+    # Keys are compared as well, since hashes may collide. Inside coalesce the comparison stays a filter on
+    # matches: as join keys these columns would have to be sorted by too, which a single number avoids.
+    same_key = reduce(and_, [F.col(k) == F.col(f"_of_{k}") for k in keys])
+    matches = (F.col("_at") == F.col("_cold_at")) & F.coalesce(same_key, F.lit(False))
+    joined = rows.join(cold, matches, "left")
+    return joined.select(
+        *df.columns, *[F.coalesce(F.col("_hot").getField(n), F.col(f"_cold_{n}")).alias(n) for n in names]
     )
-    served = F.col("_hot").isNotNull()
-    for k in keys:
-        served = served | F.col(k).isNull()
-    salted = df.withColumn("_spread", _row_salt(df, spread)).join(F.broadcast(hot), keys, "left")
-    salted = salted.withColumn("_salt", F.when(served, F.col("_spread") + 1).otherwise(0))
-    joined = salted.join(cold, [*keys, "_salt"], "left")
-    feature = F.coalesce("_hot", "_cold")
-    return joined.select(*df.columns, *[feature.getField(n).alias(n) for n in names])
 
 
 def skip_processed(df: DataFrame, processed: DataFrame, key: str, spread: int = 16) -> DataFrame:
@@ -69,5 +75,6 @@ def skip_processed(df: DataFrame, processed: DataFrame, key: str, spread: int =
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     done = processed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_salt", salts)
-    rows = df.withColumn("_salt", _row_salt(df, spread))
+    salt = F.pmod(F.xxhash64(*_hashable(df)), F.lit(spread)).cast("int")
+    rows = df.withColumn("_salt", salt)
     return rows.join(done, [key, "_salt"], "left_anti").select(*df.columns)

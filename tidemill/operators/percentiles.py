@@ -39,18 +39,16 @@ def _with_slice(counted: DataFrame, keys: list[str], max_hot: int, slices: int)
     """
     bounds = F.percentile_approx("_v", [i / slices for i in range(1, slices)], 10 * slices)
 
-    def position(edges: Column) -> Column:
-        return F.coalesce(F.size(F.filter(edges, lambda e: e < F.col("_v"))), F.lit(0))
-
-    if not keys:
-        return counted.withColumn("_slice", position(counted.select(bounds).scalar()))
-    groups = counted.groupBy(*keys).agg(bounds.alias("_edges"), F.count(F.lit(1)).alias("_values"))
-    total = groups.select(F.sum("_values")).scalar()
-    large = groups.where(F.col("_values") * F.lit(max_hot) > total).select(*_renamed(keys), "_edges")
-    joined = counted.join(F.broadcast(large), _same_group(keys), "left")
-    # An empty list of bounds puts every value of a small group into slice 0.
-    edges = F.coalesce(F.col("_edges"), F.array().cast("array<double>"))
-    return joined.withColumn("_slice", position(edges)).select(*counted.columns, "_slice")
+    if keys:
+        groups = counted.groupBy(*keys).agg(bounds.alias("_edges"), F.count(F.lit(1)).alias("_values"))
+        total = groups.select(F.sum("_values")).scalar()
+        large = groups.where(F.col("_values") * F.lit(max_hot) > total).select(*_renamed(keys), "_edges")
+        bounded = counted.join(F.broadcast(large), _same_group(keys), "left")
+    else:
+        bounded = counted.withColumn("_edges", counted.select(bounds).scalar())
+    # Without bounds, all values of a group are in slice 0.
+    position = F.size(F.filter("_edges", lambda edge: edge < F.col("_v")))
+    return bounded.select(*counted.columns, F.greatest(position, F.lit(0)).alias("_slice"))
 
 
 def exact_percentiles(

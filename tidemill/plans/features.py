@@ -36,17 +36,20 @@ def feature_table(
 ) -> DataFrame:
     """Transactions with time, log, flag, interaction, user and z-score features, one row per input row.
 
-    The summaries are taken from the input itself, so each reads only its own columns.
+    The user features come first because their join may shuffle the rows: it then moves the input columns
+    only. The summaries are taken from the input itself, so each reads only its own columns.
     """
+    summary = entity_summary(transactions)
+    users = [c for c in summary.columns if c not in ("user_id", ROWS)]
     rows = (
-        transactions.transform(with_time_features)
+        attach_by_key(transactions, summary, ["user_id"], ROWS)
+        .transform(with_time_features)
         .transform(with_log_features, LOGGED)
         .transform(with_flags, categories, devices)
         .transform(with_interactions)
     )
-    rows = rows.select("user_id", *[c for c in rows.columns if c != "user_id"])
-    with_users = attach_by_key(rows, entity_summary(transactions), ["user_id"], ROWS)
-    return with_zscores(with_users, NORMALISED, basis=transactions)
+    rows = rows.select("user_id", *[c for c in rows.columns if c not in ("user_id", *users)], *users)
+    return with_zscores(rows, NORMALISED, basis=transactions)
 
 
 def write_feature_table(transactions: DataFrame, path: str, **values: Sequence[str]) -> int:

@@ -13,19 +13,17 @@ from tidemill.sources.transactions import EVENT
 FEED_FILES = "batch_*.jsonl"
 
 
-def _options(reader, schema: T.StructType, files: str):
-    with_rejects = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        reader.schema(with_rejects)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", files)
-    )
+def parse_lines(lines: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
+    """Events from lines of JSON. Blank lines are skipped; malformed ones keep their text in ``_corrupt_record``."""
+    target = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("value", target, options).alias("_event")
+    return lines.where(F.trim("value") != "").select(parsed).select("_event.*")
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType = EVENT, files: str = FEED_FILES) -> DataFrame:
-    """All events of a feed as a table. Malformed lines keep their text in ``_corrupt_record``."""
-    return _options(spark.read, schema, files).json(path)
+    """All events of a feed as a table."""
+    return parse_lines(spark.read.option("pathGlobFilter", files).text(path), schema)
 
 
 def stream_feed(
@@ -36,10 +34,10 @@ def stream_feed(
     max_files: int | None = None,
 ) -> DataFrame:
     """The feed as a stream, oldest file first; ``max_files`` limits how many make up one micro-batch."""
-    reader = _options(spark.readStream, schema, files)
+    reader = spark.readStream.option("pathGlobFilter", files)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return parse_lines(reader.text(path), schema)
 
 
 def feed_lines(df: DataFrame, ts: str = "timestamp") -> DataFrame:
