@@ -100,8 +100,8 @@ def test_percentiles_of_group_without_values(spark):
     assert got == {"a": (1, 1.0), "b": (0, 0.0), None: (1, 4.0)}
 
 
-@pytest.mark.parametrize(("max_hot", "slices"), [(1, 4), (3, 4), (4096, 128), (4096, 2)])
-def test_percentiles_of_large_groups(spark, max_hot, slices):
+@pytest.mark.parametrize(("max_hot", "min_split", "steps"), [(1, 0, 4), (3, 0, 3), (4096, 0, 12), (4096, 500, 2), (4096, 10**6, 12)])
+def test_percentiles_of_large_groups(spark, max_hot, min_split, steps):
     rng = random.Random(5)
     rows = [("big" if i % 3 else f"g{i % 8}", rng.choice([round(rng.lognormvariate(3, 2), 1), 7.0, -rng.random()])) for i in range(4000)]
     df = spark.createDataFrame(rows, "k string, v double")
@@ -109,10 +109,10 @@ def test_percentiles_of_large_groups(spark, max_hot, slices):
     for k, v in rows:
         groups[k].append(v)
     percents = (0, 12.5, 50, 99, 100)
-    for r in exact_percentiles(df, "v", percents, ["k"], max_hot, slices).collect():
+    for r in exact_percentiles(df, "v", percents, ["k"], max_hot, min_split, steps).collect():
         assert list(r)[2:-1] == pytest.approx(list(np.percentile(groups[r.k], percents)))
         assert (r.n, r["max"]) == (len(groups[r.k]), max(groups[r.k]))
-    whole = exact_percentiles(df, "v", percents, max_hot=max_hot, slices=slices).first()
+    whole = exact_percentiles(df, "v", percents, min_split=min_split, steps=steps).first()
     assert list(whole)[1:-1] == pytest.approx(list(np.percentile([v for _, v in rows], percents)))
 
 

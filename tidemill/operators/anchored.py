@@ -173,7 +173,9 @@ def anchored_tumbling(
         _openings, T.StructType([*group, T.StructField("_opens", T.LongType())])
     )
     openings = openings.withColumnsRenamed({"_key": "_of_key", "_segment": "_of_segment"})
-    same = F.col("_key").eqNullSafe(F.col("_of_key")) & (F.col("_segment") == F.col("_of_segment"))
+    # Null-safe on both columns: plain equality would add a filter below one of the uses of the points, which
+    # could then no longer share a shuffle.
+    same = F.col("_key").eqNullSafe(F.col("_of_key")) & F.col("_segment").eqNullSafe(F.col("_of_segment"))
     opened = points.join(openings, same, "inner").drop("_of_key", "_of_segment")
     assigned = _numbered(opened, ["_key", "_segment"], "_t").mapInArrow(
         _assigned(segment, size),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,16 @@ def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
 
 
+def total(df: DataFrame, column: str) -> Column:
+    """Sum of a column as a scalar subquery, for frames that are used elsewhere in the same plan.
+
+    The hash keeps the other columns, which the sum has no use for, in the subquery. So its plan down to the
+    last shuffle is the one of the other uses, and Spark runs it once for all of them.
+    """
+    sums = F.struct(F.sum(column).alias("total"), F.max(F.xxhash64(*df.columns)).alias("_all"))
+    return df.select(sums).scalar().getField("total")
+
+
 def attach_by_key(
     df: DataFrame,
     features: DataFrame,
@@ -41,11 +51,9 @@ def attach_by_key(
     """
     keys = list(keys)
     names = [c for c in features.columns if c not in keys and c != weight]
-    # The three uses of ``features`` should read the same shuffle. So the filter that the joins imply is given
-    # to all of them, and a hash keeps the columns in the plan that the total has no use for.
+    # The joins imply this filter for their own plans; given to all uses, they can share one shuffle.
     features = features.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
-    sums = F.struct(F.sum(weight).alias("total"), F.max(F.xxhash64(*features.columns)).alias("_all"))
-    is_hot = F.col(weight) * F.lit(max_hot) > features.select(sums).scalar().getField("total")
+    is_hot = F.col(weight) * F.lit(max_hot) > total(features, weight)
     hot = features.where(is_hot).select(*keys, F.struct(*names).alias("_hot"))
     cold = features.where(~is_hot).select(
         F.xxhash64(*keys).alias("_cold_at"),

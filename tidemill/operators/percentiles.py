@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.joins import total
+
 
 def _label(p: float) -> str:
     return f"p{p:g}".replace(".", "_")
@@ -31,24 +33,38 @@ def _same_group(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
 
 
-def _with_slice(counted: DataFrame, keys: list[str], max_hot: int, slices: int) -> DataFrame:
+def _with_slice(counted: DataFrame, keys: list[str], max_hot: int, min_split: int, steps: int) -> DataFrame:
     """Number the value ranges of large groups, so that no task has to sort a whole one.
 
-    Range bounds come from a quantile sketch of the group's distinct values. Only groups with more than
-    ``1/max_hot`` of all distinct values are divided, so fewer than ``max_hot`` lists of bounds are broadcast.
+    A group is large if it has more than ``min_split`` distinct values and more than ``1/max_hot`` of those of
+    all groups. So there are fewer than ``max_hot`` large groups, and their range bounds, which come from a
+    quantile sketch, can be broadcast. There are ``steps * steps`` ranges to a group, and a value's is found in
+    two steps: among every ``steps``-th bound, then within those.
     """
-    bounds = F.percentile_approx("_v", [i / slices for i in range(1, slices)], 10 * slices)
-
+    slices = steps * steps
+    occurring = F.when(F.col("_c") > 0, F.col("_v"))
+    sizes = counted.groupBy(*keys).agg(F.count(occurring).alias("_values"))
+    bounds = F.percentile_approx(occurring, [i / slices for i in range(1, slices)], 10 * slices).alias("_edges")
+    every = F.transform(F.sequence(F.lit(1), F.lit(steps - 1)), lambda i: F.col("_edges")[i * steps - 1])
     if keys:
-        groups = counted.groupBy(*keys).agg(bounds.alias("_edges"), F.count(F.lit(1)).alias("_values"))
-        total = groups.select(F.sum("_values")).scalar()
-        large = groups.where(F.col("_values") * F.lit(max_hot) > total).select(*_renamed(keys), "_edges")
-        bounded = counted.join(F.broadcast(large), _same_group(keys), "left")
+        is_large = (F.col("_values") > min_split) & (F.col("_values") * F.lit(max_hot) > total(sizes, "_values"))
+        large = sizes.where(is_large).select(*_renamed(keys))
+        members = counted.join(F.broadcast(large), _same_group(keys), "left_semi")
+        divided = members.groupBy(*keys).agg(bounds).select(*_renamed(keys), "_edges", every.alias("_every"))
+        bounded = counted.join(F.broadcast(divided), _same_group(keys), "left")
     else:
-        bounded = counted.withColumn("_edges", counted.select(bounds).scalar())
-    # Without bounds, all values of a group are in slice 0.
-    position = F.size(F.filter("_edges", lambda edge: edge < F.col("_v")))
-    return bounded.select(*counted.columns, F.greatest(position, F.lit(0)).alias("_slice"))
+        members = counted.where(sizes.scalar() > min_split)
+        only = members.select(bounds).select(F.struct("_edges", every.alias("_every"))).scalar()
+        bounded = counted.withColumns({c: only.getField(c) for c in ("_edges", "_every")})
+
+    def below(edges: Column | str) -> Column:
+        # Without bounds, all values of a group are in slice 0.
+        return F.greatest(F.size(F.filter(edges, lambda edge: edge < F.col("_v"))), F.lit(0))
+
+    block = below("_every") * steps
+    inner = F.slice("_edges", block + 1, F.lit(steps - 1))
+    position = F.when(F.col("_edges").isNull(), 0).otherwise(block + below(inner))
+    return bounded.select(*counted.columns, position.alias("_slice"))
 
 
 def exact_percentiles(
@@ -57,14 +73,15 @@ def exact_percentiles(
     percents: Sequence[float] = (50, 95, 99),
     keys: Sequence[str] = (),
     max_hot: int = 4096,
-    slices: int = 128,
+    min_split: int = 1_000_000,
+    steps: int = 12,
 ) -> DataFrame:
     """Percentiles interpolated linearly at position ``(n - 1) * p / 100`` of the sorted non-NULL values.
 
     Returns the keys, ``n``, ``max`` and one column per percent (``p50``, ...); all are 0 for a group without
     values, and without keys there is one row even for an empty table.
 
-    Equal values are counted first. The counts then run through value ranges: totals per range locate the
+    Equal values are counted first. Large groups are then cut into value ranges: totals per range locate the
     ranges that hold the wanted positions, and only those are sorted, each by its own task.
     """
     keys = list(keys)
@@ -74,7 +91,7 @@ def exact_percentiles(
         .groupBy(*keys, "_v")
         .agg(F.count("_v").alias("_c"))
     )
-    sliced = _with_slice(counted, keys, max_hot, slices)
+    sliced = _with_slice(counted, keys, max_hot, min_split, steps)
 
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum("_c").alias("_total"), F.max("_v").alias("_top"))
     in_group = Window.partitionBy(*keys)

@@ -124,7 +124,9 @@ def trailing_average(
     if span > pane:
         later = F.col("_pane") + F.col("_k") * pane
         between = (
-            points.groupBy(key, "_pane")
+            # Always true. It keeps the column, so that both uses of the points read the same shuffle.
+            points.where(F.col(ROWS) > 0)
+            .groupBy(key, "_pane")
             .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
             .withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(span // pane - 1))))
             .select(key, entry(later, later, True, no_rows).alias("_e"))
