@@ -105,15 +105,14 @@ def exact_percentiles(
         F.sum("_total").over(in_group).alias("_n"),
     )
 
-    position = {p: (F.col("_n") - 1) * F.lit(p) / F.lit(100.0) for p in percents}
-    ranks = {p: (F.floor(pos), F.ceil(pos)) for p, pos in position.items()}
+    # As SQL text, since each operator on a Column is a call to the JVM and there are many here.
+    position = {p: f"((_n - 1) * {p / 100!r}D)" for p in percents}
+    ranks = {p: (f"floor({pos})", f"ceil({pos})") for p, pos in position.items()}
 
-    def holds(start: Column, count: Column, rank: Column) -> Column:
-        return (start <= rank) & (rank < start + count)
+    def holds(start: str, count: str, rank: str) -> str:
+        return f"({start} <= {rank} AND {rank} < {start} + {count})"
 
-    wanted = reduce(
-        lambda a, b: a | b, [holds(F.col("_start"), F.col("_total"), r) for pair in ranks.values() for r in pair]
-    )
+    wanted = " OR ".join(holds("_start", "_total", r) for pair in ranks.values() for r in pair)
     slice_of = [*keys, "_slice"]
     targets = ranges.where(wanted).select(*_renamed(slice_of), "_start", "_n")
     values = sliced.join(targets, _same_group(slice_of), "inner").select(*slice_of, "_v", "_c", "_start", "_n")
@@ -121,18 +120,17 @@ def exact_percentiles(
     placed = values.withColumn("_first", F.col("_start") + F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
 
     # Picks and totals meet in one aggregation rather than a join, so groups without picks are kept.
-    nothing = F.lit(None).cast("double")
     picks, blanks, results = [], [], []
     for p in percents:
-        for side, rank in zip(("_lo_", "_hi_"), ranks[p], strict=True):
-            hit = holds(F.col("_first"), F.col("_c"), rank)
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(side + _label(p)))
-            blanks.append(nothing.alias(side + _label(p)))
-        lo, hi = F.col("_lo_" + _label(p)), F.col("_hi_" + _label(p))
-        interpolated = lo + (hi - lo) * (position[p] - ranks[p][0])
-        results.append(F.coalesce(F.when(hi == lo, lo).otherwise(interpolated), F.lit(0.0)).alias(_label(p)))
-
-    found = placed.groupBy(*keys).agg(*picks).withColumns({"_n": F.lit(None).cast("long"), "_top": nothing})
+        lo, hi = f"_lo_{_label(p)}", f"_hi_{_label(p)}"
+        for name, rank in zip((lo, hi), ranks[p], strict=True):
+            picks.append(F.expr(f"max(CASE WHEN {holds('_first', '_c', rank)} THEN _v END) AS {name}"))
+            blanks.append(F.expr(f"CAST(NULL AS DOUBLE) AS {name}"))
+        between = f"{lo} + ({hi} - {lo}) * ({position[p]} - {ranks[p][0]})"
+        results.append(F.expr(f"coalesce(CASE WHEN {hi} = {lo} THEN {lo} ELSE {between} END, 0.0D) AS {_label(p)}"))
+
+    nothing = {"_n": F.lit(None).cast("long"), "_top": F.lit(None).cast("double")}
+    found = placed.groupBy(*keys).agg(*picks).withColumns(nothing)
     base = ranges.select(*keys, "_n", "_top", *blanks)
     merged = (
         base.unionByName(found)

@@ -45,7 +45,7 @@ from tidemill.plans.views import (
     order_transactions,
     table,
 )
-from tidemill.sources import EVENT, feed_lines, read_dated, read_feed, scratch_path, stream_feed, write_dated
+from tidemill.sources import EVENT, feed_lines, read_dated, read_feed, scratch_path, staged, stream_feed, write_dated
 from tidemill.streaming import deduplicated_stream, drain, sliding_stream, tumbling_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,7 +127,8 @@ def event_feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return _features_rounded(feature_table(order_transactions(spark, sf), SEGMENTS, PRIORITIES))
+    transactions = staged(order_transactions(spark, sf), "orders")
+    return _features_rounded(feature_table(transactions, SEGMENTS, PRIORITIES))
 
 
 def count_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Reading and writing of transaction tables and event feeds."""
 
 from tidemill.sources.jsonl import FEED_FILES, feed_lines, read_feed, stream_feed
-from tidemill.sources.scratch import scratch_path
+from tidemill.sources.scratch import scratch_path, staged
 from tidemill.sources.transactions import (
     CATEGORIES,
     DEVICES,
@@ -26,6 +26,7 @@ __all__ = [
     "read_feed",
     "read_transactions",
     "scratch_path",
+    "staged",
     "stream_feed",
     "write_dated",
     "write_table",
