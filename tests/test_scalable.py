@@ -72,6 +72,22 @@ def test_attach_spreads_hot_and_null_keys(spark, conf):
     assert sum(sizes) == 8000 and max(sizes) < 8000 / 4 * 1.3
 
 
+def test_attach_spreads_copies(spark, conf):
+    """A third of the rows are copies of one row; the tasks that read them send them to different places."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    copy = F.col("id") % 3 == 0
+    df = spark.range(0, 12_000, 1, 32).select(
+        F.when(copy, 0).otherwise(F.col("id")).alias("id"), F.when(copy, -1).otherwise(F.col("id")).alias("k")
+    )
+    features = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("s"))
+    got = attach_by_key(df, features, ["k"], "n", 10).withColumn("place", F.spark_partition_id())
+    rows = got.collect()
+    assert Counter((r.id, r.s) for r in rows) == Counter((0, 0) if i % 3 == 0 else (i, i) for i in range(12_000))
+    copies = Counter(r.place for r in rows if r.k == -1)
+    assert len(copies) == 4 and max(copies.values()) < 4000 / 2
+
+
 def test_skip_processed(spark):
     df = spark.createDataFrame([(i, f"b{i % 5}" if i else None) for i in range(100)], "id long, batch string")
     done = spark.createDataFrame([("b1",), ("b1",), ("b3",), (None,)], "batch string")

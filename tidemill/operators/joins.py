@@ -13,9 +13,13 @@ from pyspark.sql import types as T
 _UNHASHABLE = (T.MapType, T.VariantType)
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns to spread rows by. Content, unlike a random number, is the same when a task is run again."""
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
+def _scatter(df: DataFrame) -> Column:
+    """A hash to spread rows by: of their content, and of the task that holds them, as rows may be copies.
+
+    Both are the same when a task is run again, unlike a random number or a row's position.
+    """
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
+    return F.xxhash64(F.spark_partition_id(), *hashable)
 
 
 def total(df: DataFrame, column: str) -> Column:
@@ -43,8 +47,8 @@ def attach_by_key(
     * Keys with more than ``1/max_hot`` of all rows go through a broadcast. The weights add up to the row
       count, so there are fewer than ``max_hot`` such keys however large the data is.
     * All other keys go through an ordinary join, which Spark broadcasts or shuffles by measured size. It is
-      made on a hash of the key, and rows that are already served or have a NULL key, which matches nothing,
-      take a hash of their content instead, which spreads them.
+      made on a hash of the key. Rows that are already served, or have a NULL key, which matches nothing, are
+      scattered instead, so no task gets more than its share of them.
 
     The rows wait for the broadcast of the hot keys. By then the size of ``features`` has been measured, and
     adaptive execution drops the shuffle of the rows if ``features`` turns out to be small.
@@ -62,7 +66,7 @@ def attach_by_key(
     )
     served = reduce(or_, [F.col(k).isNull() for k in keys], F.col("_hot").isNotNull())
     rows = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_at", F.when(served, F.xxhash64(*_hashable(df))).otherwise(F.xxhash64(*keys))
+        "_at", F.when(served, _scatter(df)).otherwise(F.xxhash64(*keys))
     )
     # Keys are compared as well, since hashes may collide. Inside coalesce the comparison stays a filter on
     # matches: as join keys these columns would have to be sorted by too, which a single number avoids.
@@ -83,6 +87,6 @@ def skip_processed(df: DataFrame, processed: DataFrame, key: str, spread: int =
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     done = processed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_salt", salts)
-    salt = F.pmod(F.xxhash64(*_hashable(df)), F.lit(spread)).cast("int")
+    salt = F.pmod(_scatter(df), F.lit(spread)).cast("int")
     rows = df.withColumn("_salt", salt)
     return rows.join(done, [key, "_salt"], "left_anti").select(*df.columns)

@@ -1,6 +1,6 @@
 """Structured Streaming over event feeds."""
 
-from tidemill.streaming.pipelines import (
+from tidemill.streaming.feeds import (
     counting_late,
     deduplicated_stream,
     drain,
