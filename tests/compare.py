@@ -9,7 +9,8 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "pages", "benchmark", "labels")
 
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
