@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.decontaminate import op2_decontamination
 from tidemill.llm.jaccard import op4_ngram_jaccard
+from tidemill.llm.langid import op8_language_id
 from tidemill.llm.pii import op1_pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE: dict[str, str] = {}
