@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm.decontaminate import op2_decontamination
 from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
+from tidemill.llm.pieces import op9_sentencepiece
 from tidemill.llm.pii import op1_pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_language_id": op8_language_id,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {}
