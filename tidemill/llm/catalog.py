@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.llm.bloom_lm import op10_bloom_lm
 from tidemill.llm.decontaminate import op2_decontamination
 from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_bloom_lm": op10_bloom_lm,
 }
 
 ORACLE: dict[str, str] = {}
