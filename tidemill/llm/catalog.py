@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.bloom_lm import op10_bloom_lm
 from tidemill.llm.decontaminate import op2_decontamination
+from tidemill.llm.hosts import OP6_SQL, op6_host_reputation
 from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
 from tidemill.llm.pieces import op9_sentencepiece
@@ -17,9 +18,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op6_host_reputation": op6_host_reputation,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_bloom_lm": op10_bloom_lm,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL}
