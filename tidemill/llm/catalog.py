@@ -13,11 +13,13 @@ from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
 from tidemill.llm.pieces import op9_sentencepiece
 from tidemill.llm.pii import op1_pii
+from tidemill.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_toxicity": op5_toxicity,
     "op6_host_reputation": op6_host_reputation,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
