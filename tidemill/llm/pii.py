@@ -110,16 +110,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
-    """Further candidates, of the same kinds. A grouped number is a card from 13 digits on, else a phone."""
+    """Further candidates, of the same kinds. A grouped number of 13 digits or more is a card if its check digit is right,
+    else nothing; a shorter one may be a phone."""
     spans = [(0, *m.span()) for m in _SPELLED.finditer(text)] if " at " in text or "at]" in text or "at)" in text else []
     if _ANY_DIGIT.search(text) is None:
         return spans
     if ":" in text:
         spans += [(1, *m.span()) for m in _IPV6.finditer(text)]
     for m in _GROUPED.finditer(text):
-        n = len(_digits(m[0]))
-        if 7 <= n <= 19:
-            spans.append((2 if n >= 13 else 3, *m.span()))
+        n = len(digits := _digits(m[0]))
+        if 7 <= n <= 12:
+            spans.append((3, *m.span()))
+        elif 13 <= n <= 19 and luhn(digits):
+            spans.append((2, *m.span()))
     return spans
 
 
