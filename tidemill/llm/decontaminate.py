@@ -151,7 +151,7 @@ def contamination(
     items: DataFrame,
     item_id: str = "item_id",
     item_text: str = "text",
-    rate: float = 0.05,
+    rate: float = 0.08,
     min_chars: int = 25,
     block_chars: int = 16_000_000,
 ) -> Column:
