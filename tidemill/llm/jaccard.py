@@ -111,7 +111,7 @@ def count_partners(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     owner = np.repeat(np.arange(len(right)), sizes[right])
     order = np.argsort(grams, kind="stable")
     grams, owner = grams[order], owner[order]
-    same = left is right or np.array_equal(left, right)
+    same = left is right
     for position, i in enumerate(left):
         first, last = np.searchsorted(grams, sets[i], "left"), np.searchsorted(grams, sets[i], "right")
         count = last - first
@@ -144,7 +144,9 @@ def _verify(threshold: float, n: int):
             return i
 
         classes, documents = np.zeros(len(unit), np.int64), np.zeros(len(unit), np.int64)
-        for i, partners in count_partners(sets, left, right if len(right) else left, threshold):
+        if len(unit) and unit["lo"].iloc[0] == unit["hi"].iloc[0]:
+            right = left  # a block with itself; two blocks, one of which has no rows, have no pairs
+        for i, partners in count_partners(sets, left, right, threshold):
             classes[i] += len(partners)
             documents[i] += copies[partners].sum()
             classes[partners] += 1
