@@ -28,21 +28,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.llm.common import crc_of, table
+from tidemill.llm.common import crc_of, mixed, table
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SLOTS = 1 << 17
-_MOST_FEATURES = 32
+_LETTERS = 24  # of a word that are looked at
 _RESULT = "struct<lang:string,score:double,words:long>"
 
 
-def _hash(text: str) -> int:
-    return 1 + xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass")) % (_SLOTS - 1)
-
-
 def has_letter(text: str) -> bool:
-    return any(map(str.isalpha, text))
+    return text.isalpha() or any(map(str.isalpha, text))
 
 
 class Lexicon(dict):
@@ -58,17 +54,40 @@ class Lexicon(dict):
         return cls((w, (lang, n / counts[w].total() >= 0.9)) for w, (lang, n) in found)
 
 
-def word_features(word: str, lexicon: Lexicon) -> list[int]:
-    """Slots of a lower-cased word's features; empty for a word without a letter. Slot 0 is never used."""
-    if not has_letter(word):
-        return []
-    marked = f"^{word[:24]}$"
-    names = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    names += [f"n{marked[i : i + k]}" for k in (3, 2) for i in range(len(marked) - k + 1)]
-    known = lexicon.get(word)
+def _slots(sort: int, *codes: np.ndarray) -> np.ndarray:
+    """Slots of features of a sort from the codes of their letters. Equal features always get the same slot."""
+    h = np.full(len(codes[0]), sort, np.uint64)
+    for c in codes:
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + c)
+    return (h % np.uint64(_SLOTS)).astype(np.int64)
+
+
+def word_features(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the features of lower-cased words, and which word each is of. A word without a letter has none.
+
+    All words are handled together: their marked letters lie in one array, and a feature is a few neighbours in it.
+    """
+    own = np.array([i for i, w in enumerate(words) if has_letter(w)], np.int64)
+    if not len(own):
+        return own, own
+    marked = [f"^{words[i][:_LETTERS]}$" for i in own]
+    code = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    end = np.cumsum(size) - 1
+    start = end + 1 - size
+    word = np.repeat(np.arange(len(own)), size)
+    left = np.repeat(end, size) - np.arange(len(code))  # letters after this one
+    two, three = np.flatnonzero(left >= 1), np.flatnonzero(left >= 2)
+    first = [code[np.minimum(start + k, end)] for k in (1, 2, 3)]
+    last = [code[np.maximum(end - k, start)] for k in (1, 2, 3)]
+    every = np.arange(len(own))
+    found = [(_slots(1, code[two], code[two + 1]), word[two]), (_slots(2, code[three], code[three + 1], code[three + 2]), word[three])]
+    found += [(_slots(2 + k, *first[:k]), every) for k in (1, 2, 3)] + [(_slots(5 + k, *last[:k]), every) for k in (1, 2, 3)]
+    known = [(i, *lexicon[words[w]], xxhash.xxh64_intdigest(words[w].encode("utf-8", "surrogatepass"))) for i, w in enumerate(own) if words[w] in lexicon]
     if known:
-        names = [f"w{word}", f"l{known[0]}{known[1]}", *names]
-    return [_hash(x) for x in names[:_MOST_FEATURES]]
+        at, lang, sure, itself = (np.array(x, t) for x, t in zip(zip(*known, strict=True), (np.int64, np.uint64, np.uint64, np.uint64), strict=True))
+        found += [(_slots(9, itself), at), (_slots(10, lang, sure), at)]
+    return np.concatenate([f for f, _ in found]), own[np.concatenate([w for _, w in found])]
 
 
 class Field:
@@ -79,15 +98,10 @@ class Field:
         self.weights = np.zeros((_SLOTS, len(langs)), np.float32)
         self.moves = np.zeros((len(langs), len(langs)), np.float32)
 
-    def emissions(self, features: np.ndarray) -> np.ndarray:
-        return self.weights[features].sum(1)
-
-
-def padded(features: list[list[int]]) -> np.ndarray:
-    out = np.zeros((len(features), _MOST_FEATURES), np.int32)
-    for row, f in zip(out, features, strict=True):
-        row[: len(f)] = f
-    return out
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """The score of each word for each language."""
+        slots, word = word_features(words, self.lexicon)
+        return np.stack([np.bincount(word, self.weights[slots, k], len(words)) for k in range(len(self.langs))], 1).astype(np.float32)
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, learning: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +158,7 @@ def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridg
     for words, _ in chunks:
         for w in words:
             ids.setdefault(w, len(ids))
-    features = padded([word_features(w, lexicon) for w in ids])
+    names = list(ids)
     squares, move_squares = np.full_like(field.weights, 1e-3), np.full_like(field.moves, 1.0)
     rng = np.random.default_rng(7)
     for _ in range(rounds):
@@ -155,16 +169,16 @@ def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridg
             lengths = np.array([len(c) for c, _ in batch])
             gold = np.repeat([lang for _, lang in batch], lengths)
             distinct, which = np.unique(words, return_inverse=True)
-            own = features[distinct]
-            marginal, pairs = forward_backward(field.emissions(own)[which], lengths, field.moves, True)
+            chosen = [names[i] for i in distinct]
+            marginal, pairs = forward_backward(field.emissions(chosen)[which], lengths, field.moves, True)
             marginal[np.arange(len(gold)), gold] -= 1
-            by_word = np.zeros((len(distinct), len(langs)), np.float32)
-            np.add.at(by_word, which, marginal)
-            slots, place = np.unique(own, return_inverse=True)
-            gradient = np.zeros((len(slots), len(langs)), np.float32)
-            np.add.at(gradient, place.ravel(), np.repeat(by_word, own.shape[1], 0))
+            found, word = word_features(chosen, lexicon)
+            slots, place = np.unique(found, return_inverse=True)
+            gradient = np.empty((len(slots), len(langs)), np.float32)
+            for k in range(len(langs)):
+                by_word = np.bincount(which, marginal[:, k], len(chosen))
+                gradient[:, k] = np.bincount(place, by_word[word], len(slots))
             gradient = gradient / len(batch) + ridge * field.weights[slots]
-            gradient[slots == 0] = 0
             squares[slots] += gradient**2
             field.weights[slots] -= rate * gradient / np.sqrt(squares[slots])
             seen = np.zeros_like(pairs)
@@ -176,33 +190,26 @@ def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridg
     return field
 
 
-class _Words(dict):
-    """Ids of words of a batch, with the features of each new one."""
-
-    def __init__(self, field: Field):
-        super().__init__()
-        self.field, self.features, self.lettered = field, [], []
+class _Ids(dict):
+    """Numbers of words in order of their first use."""
 
     def __missing__(self, word: str) -> int:
-        found = word_features(word, self.field.lexicon)
-        self.features.append(found)
-        self.lettered.append(bool(found))
         value = self[word] = len(self)
         return value
 
 
 def label_words(field: Field, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each text, the language probabilities of its words and whether each has a letter."""
-    known = _Words(field)
+    known = _Ids()
     ids = [np.fromiter(map(known.__getitem__, _WORD.findall(t.lower())), np.int64) for t in texts]
     lengths = np.array([len(i) for i in ids], np.int64)
     if not lengths.sum():
         yield from ((np.zeros((0, len(field.langs))), np.zeros(0, bool)) for _ in texts)
         return
-    table_ = np.concatenate([field.emissions(padded(known.features[i : i + 4096])) for i in range(0, len(known), 4096)])
-    words = np.concatenate(ids)
-    marginal, _ = forward_backward(table_[words], lengths, field.moves)
-    lettered = np.array(known.lettered)[words]
+    names, words = list(known), np.concatenate(ids)
+    emissions = np.concatenate([field.emissions(names[i : i + 50_000]) for i in range(0, len(names), 50_000)])
+    marginal, _ = forward_backward(emissions[words], lengths, field.moves)
+    lettered = np.fromiter(map(has_letter, names), bool, len(names))[words]
     ends = np.cumsum(lengths)
     for end, n in zip(ends, lengths, strict=True):
         yield marginal[end - n : end], lettered[end - n : end]
