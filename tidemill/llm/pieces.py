@@ -77,13 +77,15 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
         ends: dict[str, set[int]] = {}
         for piece in vocabulary.pieces:
-            ends.setdefault(piece[-2:], set()).add(len(piece))
-        #: Lengths of the pieces with a given end, the longest first. One-letter pieces are tried at any place.
-        self.lengths = {end: tuple(sorted(n, reverse=True)) for end, n in ends.items()}
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        #: Lengths of the pieces of three letters and more with a given end. Shorter ones are tried anyway.
+        self.lengths = {end: tuple(sorted(n)) for end, n in ends.items()}
 
     def walk(self, words: Iterable[str]) -> Iterable[tuple[str, tuple[int, ...]]]:
         """The pieces of each of the sorted words."""
-        pieces, unknown, lengths = self.vocabulary.pieces, self.vocabulary.unknown, self.lengths
+        score, unknown = {p: s for p, (_, s) in self.vocabulary.pieces.items()}.get, self.vocabulary.unknown
+        lengths, ids_of = self.lengths.get, self.vocabulary.pieces.get
         best, start, last = [0.0], [0], ""
         for word in words:
             same, most = 0, min(len(last), len(word))
@@ -91,29 +93,32 @@ class Encoder:
                 same += 1
             del best[same + 1 :], start[same + 1 :]
             for end in range(same + 1, len(word) + 1):
-                top, at = -math.inf, end - 1
-                for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
-                    if n <= end:
-                        found = pieces.get(word[end - n : end])
-                        if found and best[end - n] + found[1] > top:
-                            top, at = best[end - n] + found[1], end - n
-                found = pieces.get(word[end - 1])
-                alone = best[end - 1] + (found[1] if found else unknown)
-                if alone > top:
-                    top, at = alone, end - 1
+                at = end - 1
+                top = best[at] + score(word[at], unknown)
+                # Of equal scores the longer piece wins, and the longer ones come later.
+                if end > 1:
+                    value = score(word[end - 2 : end])
+                    if value is not None and best[end - 2] + value >= top:
+                        top, at = best[end - 2] + value, end - 2
+                    for n in lengths(word[end - 3 : end], ()) if end > 2 else ():
+                        if n <= end:
+                            value = score(word[end - n : end])
+                            if value is not None and best[end - n] + value >= top:
+                                top, at = best[end - n] + value, end - n
                 best.append(top)
                 start.append(at)
             ids: list[int] = []
             end = len(word)
             while end:
                 at = start[end]
-                found = pieces.get(word[at:end])
+                found = ids_of(word[at:end])
                 if found:
                     ids.append(found[0])
                 else:
                     ids.extend(self.vocabulary.byte_ids[b] for b in reversed(word[at:end].encode("utf-8", "surrogatepass")))
                 end = at
-            yield word, tuple(reversed(ids))
+            ids.reverse()
+            yield word, tuple(ids)
             last = word
 
     def encode(self, texts: list[str | None], batch_chars: int = 8_000_000) -> Iterable[np.ndarray | None]:
@@ -125,15 +130,16 @@ class Encoder:
                 stop += 1
             marked = [_MARKED.findall(" " + t) if t else [] for t in texts[at:stop]]
             fresh = set().union(*marked).difference(self.known)
-            if len(self.known) + len(fresh) > self.most_words:
-                self.known.clear()
-                fresh = set().union(*marked)
             now = dict(self.walk(sorted(fresh)))
-            get = {**self.known, **now}.__getitem__ if self.known else now.__getitem__
+            self.known.update(now)
+            get = self.known.__getitem__
             for text, words in zip(texts[at:stop], marked, strict=True):
                 yield None if text is None else np.fromiter(chain.from_iterable(map(get, words)), np.int32)
-            room = self.most_words - len(self.known)
-            self.known.update((w, i) for w, i in list(now.items())[:room] if len(w) <= self.most_length)
+            for word in fresh:
+                if len(word) > self.most_length:
+                    del self.known[word]
+            if len(self.known) > self.most_words:
+                self.known.clear()
             at = stop
 
 
