@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.functions import half_up, iso_text, parse_iso
+from tidemill.functions import iso_text, parse_iso, rounded_mean, shed_and_round
 from tidemill.operators import (
     flag_late,
     drop_late,
@@ -95,9 +95,18 @@ def test_whole_table(spark, tmp_path):
 
 
 def test_rounding(spark):
-    values = [1.005, 2.675, -1.005, 0.125, 1.0049, 3.0, None]
+    values = [1.005, 2.675, -1.005, 0.125, 1.0049, 1.0049998, 3.0, None]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    assert [r.y for r in df.select(half_up(F.col("x"), 2).alias("y")).collect()] == [1.01, 2.68, -1.01, 0.13, 1.0, 3.0, None]
+    shown = [r.y for r in df.select(shed_and_round(F.col("x"), 2).alias("y")).collect()]
+    assert shown == [1.01, 2.68, -1.01, 0.13, 1.0, 1.0, 3.0, None]
+
+
+def test_rounded_mean_is_exact(spark):
+    cases = [("0.02", 8, 0.0), ("0.04", 8, 0.01), ("-0.04", 8, -0.01), ("100499.98", 100_000, 1.0), ("100500.00", 100_000, 1.01),
+             (None, 0, None), ("0", 3, 0.0)]
+    df = spark.createDataFrame([(s, n) for s, n, _ in cases], "s string, n long")
+    got = [r[0] for r in df.select(rounded_mean(F.col("s").cast("decimal(38,6)"), F.col("n"), 2)).collect()]
+    assert got == [want for _, _, want in cases]
 
 
 def test_iso_text(spark):

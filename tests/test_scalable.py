@@ -187,6 +187,20 @@ def test_anchored_windows_over_small_batches(spark, conf):
     check_anchored(spark, skewed_events(1200), 10, 3)
 
 
+def test_anchored_windows_of_a_year(spark):
+    """Many users in one batch, whose windows together span more than 64 bits of microseconds."""
+    rows = [(i, i % 3000, EPOCH + dt.timedelta(days=37 * i % 4000), 1.0) for i in range(9000)]
+    check_anchored(spark, rows, 365 * 86_400, 256)
+
+
+def test_sliding_average_rounds_the_exact_mean(spark):
+    df = spark.range(100_000).select(
+        F.lit(EPOCH).alias("timestamp"), F.lit("x").alias("region"),
+        F.when(F.col("id") < 49_998, 1.01).otherwise(1.0).cast("double").alias("amount"),
+    )
+    assert {r.avg_amount for r in sliding_average(df).collect()} == {1.0}  # the mean is 1.0049998
+
+
 def test_anchored_windows_of_regular_events(spark):
     check_anchored(spark, [(i, 1, EPOCH + dt.timedelta(seconds=3 * i), 1.0) for i in range(400)], 10, 2)
 

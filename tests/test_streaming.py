@@ -11,14 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.__main__ import main
-from tidemill.operators import drop_late, sliding_average, split_corrupt, tumbling_totals
+from tidemill.operators import drop_late, drop_replays, sliding_average, split_corrupt, tumbling_totals, window_record
 from tidemill.plans import run_window_job
-from tidemill.sources import feed_lines, read_feed, stream_feed
+from tidemill.sources import feed_lines, is_blank, read_feed, stream_feed
 from tidemill.streaming import (
     batch_log,
-    counting_late,
     deduplicated_stream,
     drain,
+    ingest,
     latency_report,
     sliding_stream,
     tumbling_stream,
@@ -140,18 +140,18 @@ def test_processing_time_lateness(spark, feed, tmp_path):
     feed.seconds(0, 10)
     now = dt.datetime.now(dt.timezone.utc)
     feed.add(*[feed.event(0, timestamp=(now + dt.timedelta(seconds=s)).isoformat()) for s in (3600, 3601)])
-    counted = counting_late(events(spark, feed), tolerance_s=60)
-    kept = drop_late(counted, "timestamp", tolerance_s=60)
-    query = drain(kept, str(tmp_path / "out"), str(tmp_path / "progress"))
-    assert spark.read.schema(kept.schema).parquet(str(tmp_path / "out")).count() == 2
-    report = latency_report(batch_log(spark, query.recentProgress)).first()
+    output = str(tmp_path / "out")
+    ingest(stream_feed(spark, str(feed.path)), output, tolerance_s=60, drop_late=True).awaitTermination()
+    log = spark.read.parquet(f"{output}/log")
+    assert sorted((r["outcome"], r["count"]) for r in log.groupBy("outcome").count().collect()) == [("good", 2), ("late", 10)]
+    report = latency_report(batch_log(spark, output)).first()
     assert (report.total_events, report.total_batches, report.late_events) == (12, 1, 10)
     assert report.latency_ms.p50 == report.latency_ms.max > 0
     assert report.throughput_eps > 0
 
 
 def test_report_of_nothing(spark):
-    report = latency_report(batch_log(spark, [])).first()
+    report = latency_report(spark.createDataFrame([], "total_events long, late_events long, rejected_lines long, started timestamp, latency_ms double, batch long")).first()
     assert (report.total_events, report.total_batches, report.throughput_eps) == (0, 0, 0.0)
     assert tuple(report.latency_ms) == (0.0, 0.0, 0.0, 0.0)
 
@@ -161,7 +161,7 @@ def test_window_job(spark, feed, tmp_path):
         feed.seconds(s, s + 10)
     feed.add("{broken")
     report = run_window_job(spark, str(feed.path), str(tmp_path / "out"), max_files=2).first()
-    assert (report.total_events, report.total_batches) == (61, 4)
+    assert (report.total_events, report.total_batches) == (60, 4)
     records = spark.read.json(str(tmp_path / "out/tumbling_windows")).orderBy("window_start").collect()
     assert [r.window_start for r in records][:2] == ["2024-03-01T10:00:00+00:00", "2024-03-01T10:00:10+00:00"]
     assert records[0].aggregates.food.tx_count == records[0].aggregates.books.tx_count == 5
@@ -169,7 +169,52 @@ def test_window_job(spark, feed, tmp_path):
     sliding = spark.read.json(str(tmp_path / "out/sliding_windows")).orderBy("window_end").collect()
     assert (sliding[0].window_end, sliding[0].slide_s) == ("2024-03-01T10:00:10+00:00", 10)
     assert sliding[0].region_avg_amount.north == pytest.approx(sum(10 + s % 7 for s in range(10)) / 10)
-    assert [r.line for r in spark.read.json(str(tmp_path / "out/rejects")).collect()] == ["{broken"]
+    log = spark.read.parquet(str(tmp_path / "out/log"))
+    assert [r[0] for r in log.where("outcome = 'rejected'").select("_corrupt_record").collect()] == ["{broken"]
+
+
+def test_flushed_job_has_all_windows_and_later_runs_take_them_back(spark, feed, tmp_path):
+    out = str(tmp_path / "out")
+    feed.seconds(0, 33)
+    run_window_job(spark, str(feed.path), out, flush=True)
+    table, _ = split_corrupt(read_feed(spark, str(feed.path)))
+    read = lambda kind: spark.read.parquet(f"{out}/windows/{kind}").drop("batch")
+    assert bag(read("tumbling")) == bag(tumbling_totals(table)) and bag(read("sliding")) == bag(sliding_average(table))
+    feed.seconds(33, 57)
+    run_window_job(spark, str(feed.path), out, flush=True)
+    table, _ = split_corrupt(read_feed(spark, str(feed.path)))
+    assert bag(read("tumbling")) == bag(tumbling_totals(table)) and bag(read("sliding")) == bag(sliding_average(table))
+    records = spark.read.json(f"{out}/tumbling_windows")
+    assert records.count() == records.select("window_start").distinct().count() == 6
+
+
+def test_counts_more_batches_than_spark_remembers(spark, feed, tmp_path, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "3")
+    for s in range(8):
+        feed.add(feed.event(s), "junk")
+    ingest(stream_feed(spark, str(feed.path), max_files=1), str(tmp_path / "out")).awaitTermination()
+    report = latency_report(batch_log(spark, str(tmp_path / "out"))).first()
+    assert (report.total_events, report.total_batches, report.late_events) == (8, 8, 8)
+
+
+def test_every_line_is_an_event_a_reject_or_blank(spark, feed):
+    one = json.dumps(feed.event(0))
+    bad = [f"{one} {one}", f"{one},{one}", f"{one} junk", f"{one}]", f"{one}}}", "[1]", "{}", "null", "7", '"text"', f"[{one}]",
+           one.replace('"timestamp"', '"time"'), one.replace('"amount": 10.0', '"amount": null'), one.replace('"books"', "null")]
+    feed.add(one, f"  {one}\t", "", " ", "\t", *bad)
+    good, rejects = split_corrupt(read_feed(spark, str(feed.path)))
+    assert good.count() == 2 and sorted(r.line for r in rejects.collect()) == sorted(bad)
+    lines = spark.read.text(str(feed.path))
+    assert lines.count() == 2 + len(bad) + lines.where(is_blank()).count()
+
+
+def test_rows_without_id_time_or_key_are_kept(spark):
+    rows = spark.createDataFrame([(None, None, None), (None, START, "a"), (1, START, None), (1, START, "a")], "event_id long, timestamp timestamp, category string")
+    assert drop_replays(rows).count() == 3
+    assert drop_late(rows, "timestamp", F.lit(START)).count() == 4
+    totals = tumbling_totals(rows.withColumn("amount", F.lit(1.0)))
+    record = window_record(totals, "category", ("tx_count",)).first()
+    assert record.aggregates == {"(none)": 1, "a": 2}
 
 
 def test_command_line(spark, feed, tmp_path, capsys):

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tidemill.plans import run_window_job, write_feature_table
 from tidemill.plans.windows import PROCESSING_TIME, WATERMARK
-from tidemill.sources import read_transactions
+from tidemill.sources import clear_scratch, read_transactions
 
 
 def _session(name: str) -> SparkSession:
@@ -19,7 +19,6 @@ def _session(name: str) -> SparkSession:
         # Lets adaptive execution join by hashing instead of sorting where every partition has been measured
         # to be smaller than this.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
-        .config("spark.sql.streaming.numRecentProgressUpdates", "10000")
         .getOrCreate()
     )
 
@@ -39,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     windows.add_argument("--window", type=int, default=10, help="tumbling window in seconds")
     windows.add_argument("--watermark", type=float, default=5.0, help="tolerance for late events in seconds")
     windows.add_argument("--late", choices=(WATERMARK, PROCESSING_TIME), default=WATERMARK)
+    windows.add_argument("--flush", action="store_true", help="the feed is finished: write the open windows too")
     windows.add_argument("--max-files", type=int, help="files per micro-batch")
 
     args = parser.parse_args(argv)
@@ -48,10 +48,12 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{rows} rows written to {args.output}")
     else:
         report = run_window_job(
-            spark, args.input, args.output, args.window, args.watermark, args.late, max_files=args.max_files
-        )
+            spark, args.input, args.output, args.window, args.watermark, args.late,
+            max_files=args.max_files, flush=args.flush,
+        )
         for line in report.toJSON().take(1):
             print(line)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

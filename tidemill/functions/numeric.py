@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,12 +33,18 @@ def standardised(column: Column, mean: Column, spread: Column) -> Column:
     return ((column - mean) / or_one(spread)).cast("double")
 
 
-def half_up(column: Column, digits: int) -> Column:
-    """Round half away from zero, taking for a half what lies within 1/20000 of a last digit below it.
+def rounded_mean(total: Column, count: Column, digits: int) -> Column:
+    """Exact mean of a decimal sum, rounded once, half away from zero; NULL where there is nothing to average."""
+    twice = F.abs(total) * F.lit(Decimal(2 * 10**digits)) + count
+    steps = F.call_function("div", twice, F.nullif(2 * count, F.lit(0)).cast("decimal(20, 0)"))
+    return F.signum(total) * steps / F.lit(10.0**digits)
+
+
+def shed_and_round(column: Column, digits: int) -> Column:
+    """Round half away from zero, taking for a half what lies within 1/200,000 of a last digit below it.
 
-    The last bits of a floating-point sum depend on the order in which partitions are added, which changes
-    from run to run. The allowance makes a value such as 1.005 round the same way whatever that order was.
-    Done in binary arithmetic, which costs a fraction of rounding through decimal text.
+    For comparing engines only: the last bits of a floating-point value depend on the order of additions and on the
+    engine. Values that are published are rounded exactly, see ``rounded_mean``.
     """
     scale = F.lit(10.0**digits)
-    return F.rint(column * scale + F.signum(column) * F.lit(0.00005)) / scale
+    return F.rint(column * scale + F.signum(column) * F.lit(0.000005)) / scale

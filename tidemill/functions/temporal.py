@@ -28,7 +28,10 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def iso_text(ts: Column) -> Column:
-    """ISO-8601 text with a UTC offset; the fraction is left out when it is zero."""
+    """ISO-8601 text in UTC; the fraction is left out when it is zero. A timestamp without zone is taken as UTC."""
+    ts = F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("timestamp_ntz")).otherwise(
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    )
     fraction = F.date_format(ts, "SSSSSS")
     return F.concat(
         F.date_format(ts, _ISO_SECONDS),

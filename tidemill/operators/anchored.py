@@ -43,6 +43,22 @@ def _whole_groups(batches: Batches) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+#: Microseconds that groups put one after the other may take up; far from where 64-bit numbers end.
+_LINE = 2**61
+
+
+def _lines(batches: Batches, size: int) -> Iterator[_Timelines]:
+    """Whole groups, as many at a time as fit on one line."""
+    for table in _whole_groups(batches):
+        first = np.append(np.flatnonzero(_numbers(table, "_seq") == 1), table.num_rows)
+        t, origin = _numbers(table, "_t"), _numbers(table, "_segment")[first[:-1]]
+        room = np.maximum(t[first[1:] - 1].astype(float) - origin, size) + 2.0 * size
+        part = (np.cumsum(room) // _LINE).astype(np.int64)
+        for n in np.unique(part):
+            own = np.flatnonzero(part == n)
+            yield _Timelines(table.slice(first[own[0]], first[own[-1] + 1] - first[own[0]]), size)
+
+
 def _numbers(data: pa.RecordBatch | pa.Table, column: str) -> np.ndarray:
     return data.column(column).to_numpy(zero_copy_only=False) if isinstance(data, pa.RecordBatch) else data[column].to_numpy()
 
@@ -50,13 +66,16 @@ def _numbers(data: pa.RecordBatch | pa.Table, column: str) -> np.ndarray:
 class _Timelines:
     """Times of many groups on one line, with gaps between the groups that no window reaches across."""
 
-    def __init__(self, table: pa.Table, segment: int, size: int) -> None:
+    def __init__(self, table: pa.Table, size: int) -> None:
+        self.table = table
         self.t = _numbers(table, "_t")
         self.first = np.flatnonzero(_numbers(table, "_seq") == 1)
         self.end = np.append(self.first[1:], len(self.t))
         self.group = np.repeat(np.arange(len(self.first)), self.end - self.first)
         self.origin = _numbers(table, "_segment")[self.first]
-        self.shift = np.arange(len(self.first)) * (segment + 2 * size) - self.origin
+        last = self.t[self.end - 1] if len(self.end) else self.t
+        room = np.maximum(last - self.origin, size) + 2 * size  # what a group takes up on the line
+        self.shift = np.cumsum(room) - room - self.origin
         self.line = self.t + self.shift[self.group]
         # The row that opens the next window, if a row opens one: its index, or the end of the group.
         self.next = np.minimum(np.searchsorted(self.line, self.line + size), self.end[self.group])
@@ -66,10 +85,10 @@ class _Timelines:
         return np.minimum(np.searchsorted(self.line, times + self.shift), self.end)
 
 
-def _exits(segment: int, size: int) -> Callable[[Batches], Batches]:
+def _exits(size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for table in _whole_groups(batches):
-            lines = _Timelines(table, segment, size)
+        for lines in _lines(batches, size):
+            table = lines.table
             rows = np.arange(len(lines.t))
             last = np.where(lines.next < lines.end[lines.group], lines.next, rows)
             while not np.array_equal(last[last], last):  # all chains at once, twice as far each round
@@ -105,10 +124,10 @@ def _openings(batches: Batches) -> Batches:
         yield from found.to_batches()
 
 
-def _assigned(segment: int, size: int) -> Callable[[Batches], Batches]:
+def _assigned(size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for table in _whole_groups(batches):
-            lines = _Timelines(table, segment, size)
+        for lines in _lines(batches, size):
+            table = lines.table
             opens = _numbers(table, "_opens")[lines.first]
             marked = np.zeros(len(lines.t), dtype=bool)
             at, end = lines.first_from(np.maximum(opens, lines.origin)), lines.end
@@ -166,7 +185,7 @@ def anchored_tumbling(
     ]
     longs = T.ArrayType(T.LongType())
     exits = _numbered(points, ["_key", "_segment"], "_t").mapInArrow(
-        _exits(segment, size),
+        _exits(size),
         T.StructType([*group, T.StructField("_enter", longs), T.StructField("_leave", longs)]),
     )
     openings = _numbered(exits, ["_key"], "_segment").mapInArrow(
@@ -178,7 +197,7 @@ def anchored_tumbling(
     same = F.col("_key").eqNullSafe(F.col("_of_key")) & F.col("_segment").eqNullSafe(F.col("_of_segment"))
     opened = points.join(openings, same, "inner").drop("_of_key", "_of_segment")
     assigned = _numbered(opened, ["_key", "_segment"], "_t").mapInArrow(
-        _assigned(segment, size),
+        _assigned(size),
         T.StructType(
             [
                 group[0],

@@ -20,14 +20,21 @@ def flag_late(df: DataFrame, ts: str, arrival: Column, tolerance_s: float = 5.0,
 
 
 def drop_late(df: DataFrame, ts: str, arrival: Column | None = None, tolerance_s: float = 5.0) -> DataFrame:
-    """On-time events. Without ``arrival`` lateness is measured against the processing time of the batch."""
+    """Events that are not late; one without a time cannot be late and stays.
+
+    Without ``arrival`` lateness is measured against the processing time of the batch.
+    """
     now = F.current_timestamp() if arrival is None else arrival
-    return df.where(~is_late(ts, now, tolerance_s))
+    return df.where(~F.coalesce(is_late(ts, now, tolerance_s), F.lit(False)))
 
 
 def drop_replays(df: DataFrame, event_id: str = "event_id") -> DataFrame:
-    """One row per event id. Copies are first dropped within each task, so a hot id moves once per task."""
-    return df.dropDuplicates([event_id])
+    """One row per event id; all rows without an id stay, as nothing says that they are copies.
+
+    Copies are first dropped within each task, so a hot id moves once per task.
+    """
+    known = F.col(event_id).isNotNull()
+    return df.where(known).dropDuplicates([event_id]).unionByName(df.where(~known))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,11 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions import half_up, micros, ratio
+from tidemill.functions import micros, ratio, rounded_mean
 from tidemill.operators.aggregates import ROWS
 from tidemill.operators.joins import attach_by_key
 
 SECOND = 1_000_000
+EXACT = "decimal(28, 6)"
 
 
 def _duration(seconds: int) -> str:
@@ -44,17 +45,19 @@ def sliding_average(
 ) -> DataFrame:
     """Mean amount per window and key; an event counts in each of the ``size_s / slide_s`` windows over it.
 
-    On a table, events are first added up per slide, and only those sums are copied into the windows. On a
-    stream, or if the slide does not divide the size, Spark copies the events themselves.
+    Amounts count to six decimal places and are added up exactly, so the mean is rounded once and does not depend on
+    the order of the rows. On a table, events are first added up per slide, and only those sums are copied into the
+    windows. On a stream, or if the slide does not divide the size, Spark copies the events themselves.
     """
+    exact = F.col(amount).cast(EXACT)
     if df.isStreaming or size_s % slide_s:
         windowed = df.groupBy(F.window(ts, _duration(size_s), _duration(slide_s)).alias("_w"), key).agg(
-            F.avg(amount).alias("_mean")
+            F.sum(exact).alias("_sum"), F.count(amount).alias("_count")
         )
-        start, end, mean = F.col("_w.start"), F.col("_w.end"), F.col("_mean")
+        start, end = F.col("_w.start"), F.col("_w.end")
     else:
         panes = df.groupBy(F.window(ts, _duration(slide_s)).alias("_pane"), key).agg(
-            F.sum(amount).alias("_sum"), F.count(amount).alias("_count")
+            F.sum(exact).alias("_sum"), F.count(amount).alias("_count")
         )
         back = F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))).alias("_back")
         windowed = (
@@ -68,10 +71,10 @@ def sliding_average(
             .groupBy("_start", key)
             .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
         )
-        start, mean = F.col("_start"), ratio(F.col("_sum"), F.col("_count"))
+        start = F.col("_start")
         end = start + F.make_dt_interval(secs=F.lit(size_s))
     return windowed.select(
-        start.alias("window_start"), end.alias("window_end"), key, half_up(mean, digits).alias("avg_amount")
+        start.alias("window_start"), end.alias("window_end"), key, rounded_mean(F.col("_sum"), F.col("_count"), digits).alias("avg_amount")
     )
 
 
@@ -148,15 +151,22 @@ def trailing_average(
 
 
 def window_record(
-    windowed: DataFrame, key: str, values: Sequence[str], name: str = "aggregates", by: Sequence[str] = ("window_start", "window_end")
+    windowed: DataFrame,
+    key: str,
+    values: Sequence[str],
+    name: str = "aggregates",
+    by: Sequence[str] = ("window_start", "window_end"),
+    no_key: str = "(none)",
 ) -> DataFrame:
     """One row per window with a map from key to its aggregates (a struct, or a plain value if only one).
 
-    The input has one row per window and key, so a map has as many entries as there are keys.
+    The input has one row per window and key, so a map has as many entries as there are keys. A map cannot hold a NULL
+    key: its aggregates stand under ``no_key``, which must not be a key itself.
     """
     value = F.col(values[0]) if len(values) == 1 else F.struct(*values)
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), value.alias("value"))))
-    return windowed.where(F.col(key).isNotNull()).groupBy(*by).agg(F.map_from_entries(entries).alias(name))
+    named = F.coalesce(F.col(key).cast("string"), F.lit(no_key))
+    entries = F.array_sort(F.collect_list(F.struct(named.alias("key"), value.alias("value"))))
+    return windowed.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
 
 
 def window_pivot(

@@ -6,11 +6,12 @@ Doubles are rounded where results are compared between engines, as sums depend o
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions import half_up, iso_text, parse_iso
+from tidemill.functions import iso_text, parse_iso, shed_and_round
 from tidemill.operators import (
     anchored_tumbling,
     approx_percentiles,
@@ -45,8 +46,9 @@ from tidemill.plans.views import (
     order_transactions,
     table,
 )
-from tidemill.sources import EVENT, feed_lines, read_dated, read_feed, scratch_path, staged, stream_feed, write_dated
-from tidemill.streaming import deduplicated_stream, drain, sliding_stream, tumbling_stream
+from tidemill.plans.windows import run_window_job
+from tidemill.sources import EVENT, feed_lines, is_blank, read_dated, read_feed, scratch_path, staged, stream_feed, write_dated
+from tidemill.streaming import batch_log, deduplicated_stream, drain, sliding_stream, tumbling_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +65,7 @@ USER_FEATURES = (
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({n: half_up(F.col(n), digits) for n in names})
+    return df.withColumns({n: shed_and_round(F.col(n), digits) for n in names})
 
 
 def time_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,8 +97,9 @@ def _user_features_rounded(rows: DataFrame) -> DataFrame:
 
 
 def user_aggregations(spark: SparkSession, sf: str) -> DataFrame:
-    rows = order_transactions(spark, sf).transform(with_entity_summary)
-    return _user_features_rounded(rows).select("transaction_id", "user_id", "amount", "items_in_cart", *USER_FEATURES)
+    used = ("transaction_id", "user_id", "amount", "items_in_cart", "is_returned", "session_duration")
+    joined = staged(order_transactions(spark, sf).select(*used), "orders")  # both uses read the join's result
+    return _user_features_rounded(joined.transform(with_entity_summary)).select("transaction_id", "user_id", "amount", "items_in_cart", *USER_FEATURES)
 
 
 def global_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,7 +109,8 @@ def global_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def zscore_features(spark: SparkSession, sf: str) -> DataFrame:
     scores = [f"{c}_zscore" for c in NORMALISED]
-    rows = order_transactions(spark, sf).transform(with_zscores, NORMALISED)
+    joined = staged(order_transactions(spark, sf).select("transaction_id", "user_id", *NORMALISED), "orders")
+    rows = joined.transform(with_zscores, NORMALISED)
     return _rounded(rows, 6, *scores).select("transaction_id", "user_id", *scores)
 
 
@@ -239,46 +243,98 @@ def partition_pruned_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(daily, 2, "total_amount")
 
 
-def _feed(spark: SparkSession, events: DataFrame) -> str:
-    """Lay the events out as an event feed and return its directory."""
-    path = scratch_path(spark, "feed")
-    feed_lines(events.withColumnRenamed("transaction_id", "event_id")).write.text(path)
-    return path
-
-
 _STAGED = "part-*"
 
 
-def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "sink")
-    drain(stream, path, scratch_path(spark, "progress"))
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def _zoneless(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
 
 
-def _parsed_stream(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return split_corrupt(stream_feed(spark, _feed(spark, events), EVENT, _STAGED))[0]
+def _slices(events: DataFrame, parts: int = 3) -> list[DataFrame]:
+    """The events in stretches of equal time, one after the other."""
+    seconds = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    place = F.least(F.floor((seconds - first) * parts / F.lit(float(last - first + 1))), F.lit(parts - 1))
+    return [events.where(place == i) for i in range(parts)]
+
+
+def _drained_in_parts(spark: SparkSession, build: Callable[[DataFrame], DataFrame], parts: list[DataFrame]) -> DataFrame:
+    """What a streaming query writes if it is stopped after each part of its feed and started again."""
+    feed, path, progress = (scratch_path(spark, name) for name in ("feed", "sink", "progress"))
+    for part in parts:
+        feed_lines(part.withColumnRenamed("transaction_id", "event_id")).write.mode("append").text(feed)
+        stream = build(split_corrupt(stream_feed(spark, feed, EVENT, _STAGED))[0])
+        drain(stream, path, progress)
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 def stream_tumbling_category(spark: SparkSession, sf: str) -> DataFrame:
     """Windows that the watermark has passed when the feed has been read to its end."""
-    windows = tumbling_stream(_parsed_stream(spark, event_transactions(spark, sf)), size_s=HOUR)
-    return _rounded(_zoneless(_drained(spark, windows), "window_start", "window_end"), 2, "total_amount")
+    parts = _slices(event_transactions(spark, sf))
+    windows = _drained_in_parts(spark, lambda events: tumbling_stream(events, size_s=HOUR), parts)
+    return _rounded(_zoneless(windows, "window_start", "window_end"), 2, "total_amount")
 
 
 def stream_sliding_region_avg(spark: SparkSession, sf: str) -> DataFrame:
-    windows = sliding_stream(_parsed_stream(spark, event_transactions(spark, sf)), size_s=3 * HOUR, slide_s=HOUR)
-    return _zoneless(_drained(spark, windows), "window_start", "window_end")
+    parts = _slices(event_transactions(spark, sf))
+    windows = _drained_in_parts(spark, lambda events: sliding_stream(events, size_s=3 * HOUR, slide_s=HOUR), parts)
+    return _zoneless(windows, "window_start", "window_end")
 
 
 def stream_dedup_events(spark: SparkSession, sf: str) -> DataFrame:
-    """A feed that holds every event twice, written once each."""
-    events = event_transactions(spark, sf)
-    unique = deduplicated_stream(_parsed_stream(spark, events.unionByName(events)))
-    return _zoneless(_drained(spark, unique), "timestamp").select("event_id", "user_id", "timestamp", "amount")
+    """A feed that sends every event twice in its part and again with the next part, written once each."""
+    parts, sent = _slices(event_transactions(spark, sf)), []
+    for i, part in enumerate(parts):
+        sent.append(part.unionByName(part) if i == 0 else part.unionByName(part).unionByName(parts[i - 1]))
+    unique = _drained_in_parts(spark, deduplicated_stream, sent)
+    return _zoneless(unique, "timestamp").select("event_id", "user_id", "timestamp", "amount")
+
+
+def _window_job(spark: SparkSession, sf: str, arrival: Column | None = None) -> str:
+    """The window job, stopped after each part of a feed and started again; returns its folder."""
+    feed, output = scratch_path(spark, "feed"), scratch_path(spark, "windows")
+    parts = _slices(event_transactions(spark, sf))
+    for i, part in enumerate(parts):
+        feed_lines(part.withColumnRenamed("transaction_id", "event_id")).write.mode("append").text(feed)
+        run_window_job(spark, feed, output, HOUR, files=_STAGED, flush=i == len(parts) - 1, arrival=arrival)
+    return output
+
+
+def stream_restart_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """All windows of a feed that was read in parts and then finished."""
+    rows = spark.read.parquet(f"{_window_job(spark, sf)}/windows/tumbling").drop("batch")
+    return _rounded(_zoneless(rows, "window_start", "window_end"), 2, "total_amount")
+
+
+def stream_late_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    """Events and late events that the job counted, where an event arrives 0 to 10 seconds after it happened."""
+    arrival = F.col("timestamp") + F.make_dt_interval(secs=F.pmod("event_id", F.lit(11)))
+    log = batch_log(spark, _window_job(spark, sf, arrival))
+    return log.agg(*[F.sum(c).alias(c) for c in ("total_events", "late_events", "rejected_lines")])
+
+
+def feed_conservation(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of each line of a feed with blank, tab, doubled, trailed and timeless lines among good ones."""
+    events = event_transactions(spark, sf).withColumnRenamed("transaction_id", "event_id")
+    kind = F.pmod("event_id", F.lit(10))
+    value = F.col("value")
+    damaged = (
+        F.when(kind == 0, "   ")
+        .when(kind == 1, "\t")
+        .when(kind == 2, F.concat(value, F.lit(" "), value))
+        .when(kind == 3, F.concat(value, F.lit(" junk")))
+        .when(kind == 4, F.regexp_replace(value, '"timestamp":"[^"]*",', ""))
+        .otherwise(value)
+    )
+    lines = events.withColumn("timestamp", iso_text(F.col("timestamp")))
+    lines = lines.select("event_id", F.to_json(F.struct(*events.columns)).alias("value"))
+    path = scratch_path(spark, "feed")
+    lines.select(damaged.alias("value")).write.text(path)
+    text = spark.read.text(path)
+    good, rejects = split_corrupt(read_feed(spark, path, EVENT, _STAGED))
+    counted = [("lines", text), ("blank", text.where(is_blank())), ("good", good), ("rejected", rejects)]
+    one = [df.agg(F.count(F.lit(1)).alias("line_count")).select(F.lit(name).alias("outcome"), "line_count") for name, df in counted]
+    return reduce(DataFrame.unionByName, one)
 
 
 def _damaged_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -332,5 +388,8 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling_category": stream_tumbling_category,
     "stream_sliding_region_avg": stream_sliding_region_avg,
     "stream_dedup_events": stream_dedup_events,
+    "stream_restart_windows": stream_restart_windows,
+    "stream_late_accounting": stream_late_accounting,
+    "feed_conservation": feed_conservation,
     "corrupt_lines_kept_apart": corrupt_lines_kept_apart,
 }

@@ -11,7 +11,7 @@ _NORMALISED = ("amount", "session_duration", "page_views", "items_in_cart")
 
 def _r(expression: str, digits: int, name: str) -> str:
     """Rounding in decimal, half up, with the noise of binary sums shed first."""
-    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38, {digits + 4})), {digits}) AS DOUBLE) AS {name}"
+    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38, {digits + 5})), {digits}) AS DOUBLE) AS {name}"
 
 
 def _array(names: tuple[str, ...]) -> str:
@@ -227,6 +227,15 @@ FROM hourly WHERE window_end <= {_CLOSED}""",
     "stream_dedup_events": (
         f'WITH {_TX_EVENTS} SELECT transaction_id AS event_id, user_id, "timestamp", amount FROM tx'
     ),
+    "stream_restart_windows": f"""WITH {_TX_EVENTS}, {_HOURLY}
+SELECT window_start, window_end, category, tx_count, {_r("total_amount", 2, "total_amount")} FROM hourly""",
+    "stream_late_accounting": f"""WITH {_TX_EVENTS}, {_ARRIVED}
+SELECT count(*) AS total_events, count(*) FILTER (is_late) AS late_events, 0::BIGINT AS rejected_lines FROM flagged""",
+    "feed_conservation": """
+SELECT 'lines' AS outcome, count(*) AS line_count FROM events
+UNION ALL SELECT 'blank', count(*) FROM events WHERE event_id % 10 IN (0, 1)
+UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 10 IN (2, 3, 4)
+UNION ALL SELECT 'good', count(*) FROM events WHERE event_id % 10 > 4""",
     "corrupt_lines_kept_apart": f"""WITH {_TX_EVENTS}
 SELECT CASE WHEN category = 'error' THEN '(rejected)' ELSE category END AS category, count(*) AS line_count,
        {_r("sum(CASE WHEN category <> 'error' THEN amount END)", 2, "total_amount")}

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.functions import iso_text
-from tidemill.operators import drop_late, split_corrupt, window_record
-from tidemill.sources import FEED_FILES, stream_feed
-from tidemill.streaming import batch_log, counting_late, latency_report, sliding_stream, start, tumbling_stream
+from tidemill.operators import sliding_average, tumbling_totals, window_record
+from tidemill.sources import EVENT, FEED_FILES, delete_path, stream_feed
+from tidemill.streaming import batch_log, ingest, last_batch, latency_report, logged_schema, sliding_stream, tumbling_stream
 
 WATERMARK, PROCESSING_TIME = "watermark", "processing-time"
 
 
+# The field names of the published window records.
+
+
 def tumbling_records(windows: DataFrame, size_s: int) -> DataFrame:
     records = window_record(windows, "category", ("tx_count", "total_amount"))
     return records.select(
@@ -30,6 +36,51 @@ def sliding_records(windows: DataFrame, size_s: int, slide_s: int) -> DataFrame:
     )
 
 
+def _logged_events(reader, output: str) -> DataFrame:
+    """The good events of the log; ``reader`` is a session's ``read`` or ``readStream``."""
+    rows = reader.schema(logged_schema(EVENT)).parquet(f"{output}/log")
+    return rows.where(F.col("outcome") == "good").select(*EVENT.names)
+
+
+def _emit(stream: DataFrame, output: str, kind: str, records: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Write the windows that close, as rows and as records, in one folder for each micro-batch.
+
+    A window closes in one micro-batch, with all its keys, so records are whole and nothing written is touched again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        path = f"{output}/windows/{kind}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        closed = batch.sparkSession.read.schema(batch.schema).parquet(path)
+        records(closed).write.mode("overwrite").json(f"{output}/{kind}_windows/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .outputMode("append")
+        .option("checkpointLocation", f"{output}/progress/{kind}")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+_FLUSHED = "batch=999999999999"
+
+
+def _flush(spark: SparkSession, output: str, kind: str, stream: DataFrame, windows: Callable[[DataFrame], DataFrame], reach_s: int, records) -> None:
+    """Write the windows that are still open: those of the logged events that end after the last closed one."""
+    closed = spark.read.schema(stream.schema).parquet(f"{output}/windows/{kind}")
+    end = closed.agg(F.max("window_end")).first()[0]
+    events = _logged_events(spark.read, output)
+    if end is not None:
+        events = events.where(F.col("timestamp") >= F.lit(end) - F.make_dt_interval(secs=F.lit(reach_s)))
+    rest = windows(events)
+    if end is not None:
+        rest = rest.where(F.col("window_end") > F.lit(end))
+    rest.write.mode("overwrite").parquet(f"{output}/windows/{kind}/{_FLUSHED}")
+    written = spark.read.schema(stream.schema).parquet(f"{output}/windows/{kind}/{_FLUSHED}")
+    records(written).write.mode("overwrite").json(f"{output}/{kind}_windows/{_FLUSHED}")
+
+
 def run_window_job(
     spark: SparkSession,
     feed: str,
@@ -39,47 +90,56 @@ def run_window_job(
     late: str = WATERMARK,
     files: str = FEED_FILES,
     max_files: int | None = None,
+    flush: bool = False,
+    arrival: Column | None = None,
 ) -> DataFrame:
     """Bring the windows of a feed up to date and return the latency report of this run.
 
-    Under ``output``, ``windows/`` holds one row per window and key, ``rejects/`` the malformed lines and
-    ``progress/`` the checkpoints: run again, the job reads new files only and goes on with the windows that
-    were open. ``tumbling_windows/``, ``sliding_windows/`` (three times the size, one slide per tumbling
-    window) and ``latency_report/`` are written anew as JSON.
-
-    With ``late="watermark"`` an event is dropped once its window is closed in event time. With
-    ``"processing-time"`` one that is read more than ``watermark_s`` after it happened is dropped as well.
+    The feed is read and parsed once. Under ``output``, ``log/`` holds its rows by micro-batch and outcome, ``batches/``
+    counts them, and ``progress/`` has the checkpoints: run again, the job reads new files only and goes on with the
+    windows that were open. Both kinds of windows, tumbling and sliding (three times the size, one slide for each tumbling
+    window), are made from the same logged events. ``windows/<kind>/`` gets one row for each closed window and key, and
+    ``<kind>_windows/`` one JSON record for each closed window, in a new folder for each micro-batch; what earlier runs
+    wrote is not read. ``latency_report/`` is written anew.
+
+    A window is closed once the watermark, ``watermark_s`` behind the latest event, has passed its end. With ``flush``,
+    for a feed that is finished, the windows still open are written as well; a later run takes them back first.
+    With ``late="processing-time"`` an event that arrives more than ``watermark_s`` after it happened is dropped. Late
+    events are counted either way.
     """
     size_s, slide_s = 3 * window_s, window_s
-
-    def events(observed: str | None = None) -> DataFrame:
-        good, _ = split_corrupt(stream_feed(spark, feed, files=files, max_files=max_files))
-        if observed:
-            good = counting_late(good, tolerance_s=watermark_s, name=observed)
-        return drop_late(good, "timestamp", tolerance_s=watermark_s) if late == PROCESSING_TIME else good
-
-    tumbling = tumbling_stream(events("lateness"), window_s, watermark_s)
-    sliding = sliding_stream(events(), size_s, slide_s, watermark_s)
-    _, rejects = split_corrupt(stream_feed(spark, feed, files=files, max_files=max_files))
-
-    running = [
-        start(tumbling, f"{output}/windows/tumbling", f"{output}/progress/tumbling"),
-        start(sliding, f"{output}/windows/sliding", f"{output}/progress/sliding"),
-        start(rejects, f"{output}/rejects", f"{output}/progress/rejects", fmt="json"),
-    ]
-    for query in running:
-        query.awaitTermination()
-
-    def closed(kind: str, stream: DataFrame) -> DataFrame:
-        return spark.read.schema(stream.schema).parquet(f"{output}/windows/{kind}")
-
-    report = latency_report(batch_log(spark, running[0].recentProgress))
-    tumbling_json = tumbling_records(closed("tumbling", tumbling), window_s)
-    sliding_json = sliding_records(closed("sliding", sliding), size_s, slide_s)
-    for df, name in (
-        (tumbling_json, "tumbling_windows"),
-        (sliding_json, "sliding_windows"),
-        (report, "latency_report"),
-    ):
-        df.write.mode("overwrite").json(f"{output}/{name}")
+    for kind in ("tumbling", "sliding"):
+        delete_path(spark, f"{output}/windows/{kind}/{_FLUSHED}")
+        delete_path(spark, f"{output}/{kind}_windows/{_FLUSHED}")
+    before = last_batch(spark, output)
+    lines = stream_feed(spark, feed, files=files, max_files=max_files)
+    ingest(lines, output, watermark_s, late == PROCESSING_TIME, arrival).awaitTermination()
+
+    events = _logged_events(spark.readStream, output)
+    kinds = {
+        "tumbling": (
+            tumbling_stream(events, window_s, watermark_s),
+            lambda rows: tumbling_totals(rows, size_s=window_s),
+            0,
+            lambda rows: tumbling_records(rows, window_s),
+        ),
+        "sliding": (
+            sliding_stream(events, size_s, slide_s, watermark_s),
+            lambda rows: sliding_average(rows, size_s=size_s, slide_s=slide_s),
+            size_s,
+            lambda rows: sliding_records(rows, size_s, slide_s),
+        ),
+    }
+    running = [_emit(stream, output, kind, records) for kind, (stream, _, _, records) in kinds.items()]
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
+    if flush:
+        for kind, (stream, windows, reach_s, records) in kinds.items():
+            _flush(spark, output, kind, stream, windows, reach_s, records)
+    report = latency_report(batch_log(spark, output, before))
+    report.write.mode("overwrite").json(f"{output}/latency_report")
     return report

@@ -1,7 +1,7 @@
 """Reading and writing of transaction tables and event feeds."""
 
-from tidemill.sources.jsonl import FEED_FILES, feed_lines, read_feed, stream_feed
-from tidemill.sources.scratch import scratch_path, staged
+from tidemill.sources.jsonl import FEED_FILES, feed_lines, is_blank, read_feed, stream_feed
+from tidemill.sources.scratch import clear_scratch, delete_path, scratch_path, staged
 from tidemill.sources.transactions import (
     CATEGORIES,
     DEVICES,
@@ -21,7 +21,10 @@ __all__ = [
     "FEED_FILES",
     "REGIONS",
     "TRANSACTION",
+    "clear_scratch",
+    "delete_path",
     "feed_lines",
+    "is_blank",
     "read_dated",
     "read_feed",
     "read_transactions",

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,12 +17,41 @@ from tidemill.sources.transactions import EVENT
 FEED_FILES = "batch_*.jsonl"
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
-    """Events from lines of JSON. Blank lines are skipped; malformed ones keep their text in ``_corrupt_record``."""
-    target = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+# What an event cannot be without.
+REQUIRED = ("event_id", "timestamp", "category", "amount")
+
+_EVENT, _END = "_event_of_line", "_end_of_line"
+
+
+def is_blank(line: str = "value") -> Column:
+    """Whether a line has nothing but white space."""
+    return ~F.col(line).rlike(r"\S")
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType = EVENT, required: Sequence[str] = REQUIRED) -> DataFrame:
+    """Events from lines of JSON. Each line that is not blank gives one row: an event, or a reject, which has the whole
+    line in ``_corrupt_record``.
+
+    Rejected are lines that are not one JSON object, with nothing after it, of values that fit the schema, and those
+    that lack one of the ``required`` fields. Spark's parser ends at the first complete value, so the line is made a field
+    of an object with another one behind it: what follows the event in its line then breaks the whole.
+    """
+    whole = T.StructType([
+        T.StructField(_EVENT, schema),
+        T.StructField(_END, T.IntegerType()),
+        T.StructField(CORRUPT, T.StringType()),
+    ])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json("value", target, options).alias("_event")
-    return lines.where(F.trim("value") != "").select(parsed).select("_event.*")
+    wrapped = F.concat(F.lit(f'{{"{_EVENT}":'), F.col("value"), F.lit(f',"{_END}":1}}'))
+    parsed = lines.where(~is_blank()).select("value", F.from_json(wrapped, whole, options).alias("_line"))
+    event = F.col("_line").getField(_EVENT)
+    present = [event.getField(c).isNotNull() for c in required if c in schema.names]
+    sound = reduce(and_, present, F.col("_line").getField(CORRUPT).isNull() & (F.col("_line").getField(_END) == 1) & event.isNotNull())
+    sound = F.coalesce(sound, F.lit(False))
+    return parsed.select(
+        *[F.when(sound, event.getField(c)).alias(c) for c in schema.names],
+        F.when(~sound, F.col("value")).alias(CORRUPT),
+    )
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType = EVENT, files: str = FEED_FILES) -> DataFrame:

@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SETTING = "spark.checkpoint.dir"
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemill-")
+_SETTING, _FALLBACK = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path not used before, in the shared folder named by ``spark.checkpoint.dir``.
+    """A path not used before, in the shared folder named by ``spark.checkpoint.dir``, else beside the warehouse's tables.
 
-    Only a local session without that setting gets a folder of this machine.
+    What is there is deleted by ``clear_scratch``, which also runs when the program ends before its session.
     """
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        base = _local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_FALLBACK).rstrip('/')}/_scratch"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can write, if it exists."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables made so far; frames that read them cannot be used any more."""
+    while _made:
+        delete_path(spark, _made.pop())
+
+
+@atexit.register
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _made:
+        clear_scratch(spark)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -1,22 +1,25 @@
 """Structured Streaming over event feeds."""
 
 from tidemill.streaming.feeds import (
-    counting_late,
     deduplicated_stream,
     drain,
+    ingest,
+    logged_schema,
     sliding_stream,
     start,
     tumbling_stream,
     watermarked,
 )
-from tidemill.streaming.reports import batch_log, latency_report
+from tidemill.streaming.reports import batch_log, last_batch, latency_report
 
 __all__ = [
     "batch_log",
-    "counting_late",
     "deduplicated_stream",
     "drain",
+    "ingest",
+    "last_batch",
     "latency_report",
+    "logged_schema",
     "sliding_stream",
     "start",
     "tumbling_stream",

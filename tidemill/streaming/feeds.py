@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.operators import sliding_average, tumbling_totals
-from tidemill.operators.quality import is_late
+from tidemill.operators.quality import CORRUPT, is_late
 
 DELAY_S = 5.0
 
@@ -16,20 +19,63 @@ def watermarked(events: DataFrame, ts: str = "timestamp", delay_s: float = DELAY
     return events.withWatermark(ts, f"{round(delay_s * 1000)} milliseconds")
 
 
-def counting_late(
-    events: DataFrame, ts: str = "timestamp", tolerance_s: float = DELAY_S, name: str = "lateness"
-) -> DataFrame:
-    """Report ``total_events`` and ``late_events`` of each micro-batch under ``observedMetrics``.
+def accepted(arrival_late: bool) -> Column:
+    """Where an event goes: rejected (malformed), late (dropped, if late events are), or good."""
+    late = F.coalesce(F.col("is_late"), F.lit(False)) & F.lit(arrival_late)
+    return F.when(F.col(CORRUPT).isNotNull(), "rejected").when(late, "late").otherwise("good")
+
 
-    Lateness is measured against processing time, before any event is dropped. The number of rows dropped
-    by the watermark would not do: Spark counts it after events have been merged into groups.
+def ingest(
+    events: DataFrame,
+    output: str,
+    tolerance_s: float = DELAY_S,
+    drop_late: bool = False,
+    arrival: Column | None = None,
+    ts: str = "timestamp",
+) -> StreamingQuery:
+    """Write a parsed feed to ``output``: each event once, with its lateness decided once, whatever reads it later.
+
+    ``log/batch=<n>/outcome=<good, late or rejected>`` holds the rows of micro-batch n, and ``batches/batch=<n>`` one row
+    about it, counted from what was written. A micro-batch that is run again after a failure writes both anew. Without
+    ``arrival`` an event arrives when its micro-batch begins. Handles what is there, then ends.
     """
-    late = is_late(ts, F.current_timestamp(), tolerance_s)
-    return events.observe(
-        name, F.count(F.lit(1)).alias("total_events"), F.count_if(late).alias("late_events")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        begun = dt.datetime.now(dt.timezone.utc)
+        now = F.lit(begun) if arrival is None else arrival
+        rows = batch.withColumn("is_late", is_late(ts, now, tolerance_s)).withColumn("outcome", accepted(drop_late))
+        path = f"{output}/log/batch={batch_id}"
+        rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+        written = batch.sparkSession.read.schema(rows.schema).parquet(path)
+        event = F.col("outcome") != "rejected"
+        done = written.agg(
+            F.count_if(event).alias("total_events"),
+            F.count_if(event & F.col("is_late")).alias("late_events"),
+            F.count_if(~event).alias("rejected_lines"),
+        )
+        seconds = (dt.datetime.now(dt.timezone.utc) - begun).total_seconds()
+        done = done.withColumns({"started": F.lit(begun), "latency_ms": F.lit(1000 * seconds)})
+        done.write.mode("overwrite").parquet(f"{output}/batches/batch={batch_id}")
+
+    return (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{output}/progress/ingest")
+        .trigger(availableNow=True)
+        .start()
     )
 
 
+def logged_schema(schema: T.StructType) -> T.StructType:
+    """Of the rows that ``ingest`` writes for a feed of ``schema``."""
+    return T.StructType([
+        *schema.fields,
+        T.StructField(CORRUPT, T.StringType()),
+        T.StructField("is_late", T.BooleanType()),
+        T.StructField("batch", T.LongType()),
+        T.StructField("outcome", T.StringType()),
+    ])
+
+
 def tumbling_stream(events: DataFrame, size_s: int = 10, delay_s: float = DELAY_S, **columns: str) -> DataFrame:
     """Totals per window and category; a window is final once the watermark has passed its end."""
     ts = columns.get("ts", "timestamp")
@@ -47,7 +93,8 @@ def sliding_stream(
 def deduplicated_stream(
     events: DataFrame, event_id: str = "event_id", ts: str = "timestamp", delay_s: float = DELAY_S
 ) -> DataFrame:
-    """First arrival of each event id; ids are forgotten once the watermark is ``delay_s`` past them.
+    """First arrival of each event id; ids are forgotten once the watermark is ``delay_s`` past them. Events without an
+    id, which parsing rejects, would count as copies of each other here.
 
     Copies are first told apart by the task that read them. So an event that was sent very many times is dealt
     with in as many places as there are such tasks, and each passes on one copy at most.

@@ -1,49 +1,45 @@
-"""What a streaming query did, from the progress it reports for each micro-batch."""
+"""What a streaming job did, from the log it keeps of its micro-batches."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.listener import StreamingQueryProgress
 
-from tidemill.functions import half_up, ratio
+from tidemill.functions import ratio
 from tidemill.operators import exact_percentiles
 
-_SCHEMA = "batch_id long, rows long, late long, latency_ms double, started timestamp"
+_SCHEMA = "total_events long, late_events long, rejected_lines long, started timestamp, latency_ms double, batch long"
 
 
-def batch_log(spark: SparkSession, progress: Iterable[StreamingQueryProgress], observed: str = "lateness") -> DataFrame:
-    """One row per micro-batch that had input.
+def batch_log(spark: SparkSession, output: str, after: int = -1) -> DataFrame:
+    """One row for each micro-batch that ``ingest`` wrote to ``output``, later than number ``after``. None is forgotten."""
+    return spark.read.schema(_SCHEMA).parquet(f"{output}/batches").where(F.col("batch") > after)
 
-    A query keeps the progress of its last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches.
-    """
-    rows = []
-    for p in progress:
-        if not p.numInputRows:
-            continue
-        late = p.observedMetrics.get(observed)
-        rows.append((p.batchId, p.numInputRows, late["late_events"] if late else 0, float(p.batchDuration), p.timestamp))
-    text = spark.createDataFrame(rows, _SCHEMA.replace("started timestamp", "started string"))
-    return text.withColumn("started", F.col("started").cast("timestamp"))
+
+def last_batch(spark: SparkSession, output: str) -> int:
+    """Number of the last micro-batch in the log; -1 before the first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{output}/batches")
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        return -1
+    return batch_log(spark, output).agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
 
 
 def latency_report(log: DataFrame) -> DataFrame:
     """One row: events, batches, late events, elapsed seconds, events per second, p50/p95/p99/max latency in ms.
 
-    A batch log is short, one row per micro-batch. All values are 0 for an empty one.
+    Events are those that could be parsed. A batch log has one row for each micro-batch. All values are 0 for an empty one.
     """
     begun = F.unix_micros("started")
     ended = begun + (F.col("latency_ms") * 1000).cast("long")
     elapsed = F.coalesce((F.max(ended) - F.min(begun)) / F.lit(1_000_000.0), F.lit(0.0))
+    # The field names of the published report.
     totals = log.select(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_events"),
+        F.coalesce(F.sum("total_events"), F.lit(0)).alias("total_events"),
         F.count(F.lit(1)).alias("total_batches"),
-        F.coalesce(F.sum("late"), F.lit(0)).alias("late_events"),
-        half_up(elapsed, 2).alias("elapsed_seconds"),
-        half_up(F.coalesce(ratio(F.sum("rows"), elapsed), F.lit(0.0)), 1).alias("throughput_eps"),
+        F.coalesce(F.sum("late_events"), F.lit(0)).alias("late_events"),
+        F.round(elapsed, 2).alias("elapsed_seconds"),
+        F.round(F.coalesce(ratio(F.sum("total_events"), elapsed), F.lit(0.0)), 1).alias("throughput_eps"),
     )
     latency = exact_percentiles(log, "latency_ms", (50, 95, 99))
-    packed = latency.select(F.struct(*[half_up(F.col(c), 2).alias(c) for c in ("p50", "p95", "p99", "max")]))
+    packed = latency.select(F.struct(*[F.round(F.col(c), 2).alias(c) for c in ("p50", "p95", "p99", "max")]))
     return totals.withColumn("latency_ms", packed.scalar())
