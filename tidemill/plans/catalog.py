@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import iso_text, parse_iso, shed_and_round
 from tidemill.operators import (
+    attach_by_key,
     anchored_tumbling,
     approx_percentiles,
     drop_late,
@@ -209,7 +210,30 @@ def amount_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def approx_amount_percentiles(spark: SparkSession, sf: str) -> DataFrame:
-    return approx_percentiles(order_transactions(spark, sf), "amount", keys=["category"])
+    """Whether each approximate percentile is within the sketch's rank error: of the n values of its group, no more than
+    rank + n / accuracy are smaller, and no fewer than rank - n / accuracy are not larger.
+    """
+    accuracy, percents = 1_000, (50, 95, 99)
+    rows = staged(order_transactions(spark, sf).select("category", "amount"), "orders")
+    found = approx_percentiles(rows, "amount", percents, ["category"], accuracy)
+    sizes = rows.groupBy("category").agg(F.count("amount").alias("n"))
+    known = attach_by_key(rows, found.join(sizes, "category").withColumn("rows", F.col("n")), ["category"], "rows")
+    sums = [F.sum((F.col("amount") < F.col(f"p{p}")).cast("long")).alias(f"below{p}") for p in percents]
+    sums += [F.sum((F.col("amount") <= F.col(f"p{p}")).cast("long")).alias(f"upto{p}") for p in percents]
+    counted = known.groupBy("category", "n").agg(*sums)
+    slack = F.col("n") / accuracy + 1
+
+    def within(p: int) -> Column:
+        rank = F.col("n") * p / 100
+        return ((F.col(f"below{p}") <= rank + slack) & (F.col(f"upto{p}") >= rank - slack)).alias(f"p{p}_within")
+
+    return counted.select("category", "n", *[within(p) for p in percents])
+
+
+def divided_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``amount_percentiles``, with every group of more than 100 values divided, as only very large ones are otherwise."""
+    found = exact_percentiles(order_transactions(spark, sf), "amount", (1, 25, 50, 75, 95, 99), ["category"], min_split=100)
+    return _rounded(found, 4, "p1", "p25", "p50", "p75", "p95", "p99")
 
 
 def throughput_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -380,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "window_region_record": window_region_record,
     "latency_percentiles": latency_percentiles,
     "amount_percentiles": amount_percentiles,
+    "divided_percentiles": divided_percentiles,
     "approx_amount_percentiles": approx_amount_percentiles,
     "throughput_by_key": throughput_by_key,
     "dedup_events": dedup_events,
