@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import hosts
 
-GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
+def good():
+    return (F.col("quality") == 1) & (F.col("toxic") == 0)
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
@@ -34,11 +35,11 @@ def test_urls_and_rules(spark):
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(cases)], "page_id long, url string, n long")
     pages = pages.withColumn("good", F.lit("x")).withColumn("host", F.lit("y"))
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    rows = hosts.judge(pages, labels, GOOD).orderBy("page_id").collect()
+    rows = hosts.judge(pages, labels, good()).orderBy("page_id").collect()
     assert [(r["host"], r["path"], r["rule"]) for r in rows] == list(cases.values())
     assert {r["verdict"] for r in rows if r["rule"] in ("org/", "com/fr/")} == {"allow"}
     assert {r["verdict"] for r in rows if r["rule"] and "es" in r["rule"].split("/")} == {"block"}
-    assert hosts.judge(pages.limit(0), labels, GOOD).count() == 0
+    assert hosts.judge(pages.limit(0), labels, good()).count() == 0
 
 
 def test_suffix_and_domain(spark):
@@ -57,7 +58,7 @@ def test_shrinkage(spark):
         labels.append((i, 0 if bad and i % 40 else 1, 0))
     pages += [(5000, "http://new.good1.net/"), (5001, "http://other.one.net/"), (5001, "http://other.one.net/"), (None, "http://h1.good1.net/")]
     labels += [(5000, None, 0), (None, 1, 0)]
-    rows = hosts.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), GOOD)
+    rows = hosts.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), good())
     verdicts = {}
     for r in rows.collect():
         verdicts.setdefault(r["host"], set()).add(r["verdict"])

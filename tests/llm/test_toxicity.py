@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from tidemill.llm import toxicity
 from tidemill.llm.toxicity import Chain, form_of, words_of
 
-CATEGORIES = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+def categories():
+    return {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
 
 
 def test_held_out_accuracy(spark):
     """Learned on the labels of odd ids, compared on those of even ids."""
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
-    chain = toxicity.train_chain(docs, labels.where("doc_id % 2 = 1"), CATEGORIES)
+    chain = toxicity.train_chain(docs, labels.where("doc_id % 2 = 1"), categories())
     rest = docs.join(labels.where("doc_id % 2 = 0"), "doc_id").select("toxic", toxicity.score(spark, F.col("text"), chain)[1].alias("p"))
     rows = rest.collect()
     wrong = sum(r["p"] >= chain.cuts[1] for r in rows if not r["toxic"]) / sum(not r["toxic"] for r in rows)
@@ -30,7 +31,7 @@ def test_later_categories_use_earlier_ones():
     texts = [" ".join([rng.choice("abcdefgh") for _ in range(6)] + (["mark"] if i % 3 == 0 else ["plain"])) for i in range(900)]
     y = np.array([[i % 3 == 0, (i % 3 == 0) != (rng.random() < 0.05)] for i in range(900)], int)
     chain = Chain.fit(["one", "two"], [sorted(words_of(t)) for t in texts], np.array([form_of(t) for t in texts]), y)
-    p = chain.predict(["a b mark", "a b plain", None, ""])
+    p = chain.predict(["a b c d e f mark", "a b c d e f plain", None, ""])
     assert p[0, 0] > 0.9 and p[1, 0] < 0.1 and p[0, 1] > 0.8 and p[1, 1] < 0.2
     assert len(chain.models[1].dense) == len(chain.models[0].dense) + 1 and chain.models[1].dense[-1] > 0
 
@@ -41,10 +42,10 @@ def test_odd_texts_and_labels(spark, documents):  # noqa: F811
     none = spark.createDataFrame([], schema)
     one = spark.createDataFrame([(5, 1, 0), (5, 1, 1), (6, None, 1), (None, 1, 1), (9, 0, 1), (77, 1, 1)], schema)
     for labels in (none, one):
-        chain = toxicity.train_chain(docs, labels, CATEGORIES)
+        chain = toxicity.train_chain(docs, labels, categories())
         rows = docs.select("doc_id", toxicity.score(spark, F.col("text"), chain).alias("s")).collect()
         assert len(rows) == len(ODD) + 2 and all(len(r["s"]) == 2 and 0 < min(r["s"]) <= max(r["s"]) < 1 for r in rows)
-    assert toxicity.train_chain(docs.limit(0), one, CATEGORIES).cuts == [0.5, 0.5]
+    assert toxicity.train_chain(docs.limit(0), one, categories()).cuts == [0.5, 0.5]
 
 
 def test_cut_has_the_best_f1():
