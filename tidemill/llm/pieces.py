@@ -20,13 +20,15 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,21 +73,36 @@ class Vocabulary:
         )
 
 
+class _Ends(dict):
+    """For three letters: the score of the last as a piece, that of the last two (None if they are none), and the lengths
+    of the longer pieces that end so, the shortest first. Remembered for a bounded number of ends."""
+
+    def __init__(self, vocabulary: Vocabulary, most: int = 200_000):
+        super().__init__()
+        self.score, self.unknown, self.most = {p: s for p, (_, s) in vocabulary.pieces.items()}, vocabulary.unknown, most
+        lengths: dict[str, set[int]] = {}
+        for piece in vocabulary.pieces:
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths = {end: tuple(sorted(n)) for end, n in lengths.items()}
+
+    def __missing__(self, end: str) -> tuple[float, float | None, tuple[int, ...]]:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[end] = self.score.get(end[-1], self.unknown), self.score.get(end[-2:]), self.lengths.get(end, ())
+        return value
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, most_words: int = 300_000, most_length: int = 64):
         self.vocabulary, self.most_words, self.most_length = vocabulary, most_words, most_length
-        self.known: dict[str, tuple[int, ...]] = {}
-        ends: dict[str, set[int]] = {}
-        for piece in vocabulary.pieces:
-            if len(piece) > 2:
-                ends.setdefault(piece[-3:], set()).add(len(piece))
-        #: Lengths of the pieces of three letters and more with a given end. Shorter ones are tried anyway.
-        self.lengths = {end: tuple(sorted(n)) for end, n in ends.items()}
+        #: The ids of a word as the bytes of 32-bit numbers, so that those of a text need only be joined.
+        self.known: dict[str, bytes] = {}
+        self.ends = _Ends(vocabulary)
 
     def walk(self, words: Iterable[str]) -> Iterable[tuple[str, tuple[int, ...]]]:
         """The pieces of each of the sorted words."""
-        score, unknown = {p: s for p, (_, s) in self.vocabulary.pieces.items()}.get, self.vocabulary.unknown
-        lengths, ids_of = self.lengths.get, self.vocabulary.pieces.get
+        ends, score, unknown, ids_of = self.ends, self.ends.score.get, self.vocabulary.unknown, self.vocabulary.pieces.get
         best, start, last = [0.0], [0], ""
         for word in words:
             same, most = 0, min(len(last), len(word))
@@ -94,17 +111,23 @@ class Encoder:
             del best[same + 1 :], start[same + 1 :]
             for end in range(same + 1, len(word) + 1):
                 at = end - 1
-                top = best[at] + score(word[at], unknown)
                 # Of equal scores the longer piece wins, and the longer ones come later.
-                if end > 1:
-                    value = score(word[end - 2 : end])
-                    if value is not None and best[end - 2] + value >= top:
-                        top, at = best[end - 2] + value, end - 2
-                    for n in lengths(word[end - 3 : end], ()) if end > 2 else ():
-                        if n <= end:
-                            value = score(word[end - n : end])
-                            if value is not None and best[end - n] + value >= top:
-                                top, at = best[end - n] + value, end - n
+                if end > 2:
+                    one, two, longer = ends[word[end - 3 : end]]
+                    top = best[at] + one
+                    if two is not None and best[end - 2] + two >= top:
+                        top, at = best[end - 2] + two, end - 2
+                    for n in longer:
+                        if n > end:
+                            break
+                        value = score(word[end - n : end])
+                        if value is not None and best[end - n] + value >= top:
+                            top, at = best[end - n] + value, end - n
+                else:
+                    top = best[at] + score(word[at], unknown)
+                    two = score(word[:2]) if end == 2 else None
+                    if two is not None and two >= top:
+                        top, at = two, 0
                 best.append(top)
                 start.append(at)
             ids: list[int] = []
@@ -121,22 +144,26 @@ class Encoder:
             yield word, tuple(ids)
             last = word
 
-    def encode(self, texts: list[str | None], batch_chars: int = 8_000_000) -> Iterable[np.ndarray | None]:
+    def encode(self, texts: list[str | None], batch_chars: int = 16_000_000) -> Iterable[np.ndarray | None]:
         at = 0
         while at < len(texts):
             stop, chars = at, 0
             while stop < len(texts) and (stop == at or chars < batch_chars):
                 chars += len(texts[stop] or "")
                 stop += 1
-            marked = [_MARKED.findall(" " + t) if t else [] for t in texts[at:stop]]
-            fresh = set().union(*marked).difference(self.known)
-            now = dict(self.walk(sorted(fresh)))
-            self.known.update(now)
+            # The words are cut out twice, which is cheaper than to hold them.
+            counts: Counter[str] = Counter()
+            for text in texts[at:stop]:
+                if text:
+                    counts.update(_MARKED.findall(" " + text))
+            fresh = counts.keys() - self.known.keys()
+            self.known.update((word, array("i", ids).tobytes()) for word, ids in self.walk(sorted(fresh)))
             get = self.known.__getitem__
-            for text, words in zip(texts[at:stop], marked, strict=True):
-                yield None if text is None else np.fromiter(chain.from_iterable(map(get, words)), np.int32)
-            for word in fresh:
-                if len(word) > self.most_length:
+            for text in texts[at:stop]:
+                words = _MARKED.findall(" " + text) if text else ()
+                yield None if text is None else np.frombuffer(b"".join(map(get, words)), np.intc)
+            for word in fresh:  # words that occur once are not worth the room
+                if counts[word] == 1 or len(word) > self.most_length:
                     del self.known[word]
             if len(self.known) > self.most_words:
                 self.known.clear()
@@ -168,21 +195,26 @@ def encoding(spark: SparkSession, text: Column, vocabulary: Vocabulary | None =
     """The ids of a text's pieces, array<int>."""
     shared = spark.sparkContext.broadcast(vocabulary or Vocabulary.read())
 
-    def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(_encoder(shared).encode(list(texts))), dtype=object)
+    def ids(texts: pa.Array) -> pa.Array:
+        rows = list(_encoder(shared).encode(texts.to_pylist()))
+        ends = np.cumsum([0, *(0 if r is None else len(r) for r in rows)])
+        values = np.concatenate([np.empty(0, np.int32), *(r for r in rows if r is not None)])
+        missing = pa.array([r is None for r in rows], pa.bool_())
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()), mask=missing)
 
-    return F.pandas_udf(ids, "array<int>")(text)
+    return F.arrow_udf(ids, "array<int>")(text)
 
 
 def decoding(spark: SparkSession, ids: Column, vocabulary: Vocabulary | None = None) -> Column:
     """The text of a column of ids."""
     shared = spark.sparkContext.broadcast(vocabulary or Vocabulary.read())
 
-    def texts(rows: pd.Series) -> pd.Series:
-        decoder = _decoder(shared)
-        return pd.Series([decoder.decode(None if r is None else r.tolist()) for r in rows], dtype=object)
+    def texts(rows: pa.Array) -> pa.Array:
+        decoder, values, ends = _decoder(shared), rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy()
+        given = zip(rows.is_valid().to_pylist(), ends[:-1], ends[1:], strict=True)
+        return pa.array([decoder.decode(values[a:b].tolist()) if valid else None for valid, a, b in given], pa.string())
 
-    return F.pandas_udf(texts, "string")(ids)
+    return F.arrow_udf(texts, "string")(ids)
 
 
 def with_pieces(spark: SparkSession, docs: DataFrame, text_col: str = "text", out_col: str = "piece_ids", vocabulary: Vocabulary | None = None) -> DataFrame:
