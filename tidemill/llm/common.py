@@ -2,38 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SETTING = "spark.checkpoint.dir"
-
-
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemill-llm-")
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``. Only a session in one process may go without that setting."""
-    base = spark.conf.get(_SETTING, None)
-    if not base:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        base = _own_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+from tidemill.sources.scratch import staged
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as a table in the shared folder and read again: computed once, and safe from lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["WordHashes", "crc_of", "encoded", "mixed", "salted_lookup", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

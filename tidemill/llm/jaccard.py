@@ -182,11 +182,12 @@ def similarity_classes(
     * copy_of: the least id with the same n-gram set.
     """
     bands, rows = choose_bands(threshold, recall)
+    text = F.col("row").getField(text_col)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     signed = staged(
-        docs.select(whole, F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("at"))
-        .withColumn("sign", _signature_udf(bands, rows, n)("text"))
-        .select("row", "id", "at", "text", "sign.*"),
+        docs.select(whole, F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("at"))
+        .withColumn("sign", _signature_udf(bands, rows, n)(text))
+        .select("row", "id", "at", "sign.*"),
         "signed",
     )
     identity = F.struct(F.col("id").isNull().alias("unknown"), F.col("id").alias("id"), F.col("at").alias("at"))
@@ -214,7 +215,7 @@ def similarity_classes(
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"),
     )
     units = (
-        placed.join(signed.select("at", "text"), "at")
+        placed.join(signed.select("at", text.alias("text")), "at")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             F.col("at").alias("row"), "comp", "blocks", "copies", "text",

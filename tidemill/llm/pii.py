@@ -325,19 +325,16 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     The rows are written once with their candidates, so nothing has to be joined back.
     """
-    row = staged(
-        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text")).withColumn(
-            "spans", _spans_udf()("text")
-        ),
-        "pii-rows",
-    )
+    text = F.col("row").getField(text_col)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    row = staged(row.withColumn("spans", _spans_udf()(text)), "pii-rows")
     counts = pattern_counts(row.select("spans"))
     posterior, _ = estimate_reliabilities(counts)
     weights = train_span_classifier(counts, posterior)
     good = sorted(p for p in counts if _features(p) @ weights >= np.log(threshold / (1 - threshold)))
     accepted = F.array(*[F.lit(p) for p in good]).cast("array<string>")
     chosen = F.filter("spans", lambda s: s["strict"] | F.array_contains(accepted, s["pattern"]))
-    clean = F.when(F.size(chosen) == 0, F.col("text")).otherwise(_redact_udf()("text", chosen))
+    clean = F.when(F.size(chosen) == 0, text).otherwise(_redact_udf()(text, chosen))
     out = []
     for field in docs.schema.fields:
         if field.name == text_col:
