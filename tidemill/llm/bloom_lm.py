@@ -6,8 +6,8 @@ membership probes, until the first that fails; an error can only raise a level,
 the false-positive rate to the power i. The filter is blocked: the bits of an entry lie in one 64-bit word, so that a probe
 is one look into memory.
 
-Training is a count of n-gram hashes in Spark (each task adds up its own first) and a second shuffle by place in the
-filter, in which each task packs its stretch of words. The filter is sized by the number of training tokens,
+Training is one shuffle of n-gram hashes, each task adding up its own first, by the stretch of the filter that all levels
+of an n-gram lie in; a task adds up the counts of a stretch and packs it. The filter is sized by the number of training tokens,
 ``bits_per_token``, up to ``most_bytes``, which bounds what is sent to the driver and broadcast; beyond it the filter fills
 up and the false-positive rate rises, no n-gram is left out.
 
@@ -25,11 +25,12 @@ rows N and V are 0 and every token is unknown. Other columns are not read. Whole
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def _bigrams(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed(before * _PAIR + tokens) | _ONE
 
 
-def _runs(texts: pd.Series, chars: int = 8_000_000) -> Iterator[list]:
+def _runs(texts: Iterable, chars: int = 8_000_000) -> Iterator[list]:
     run, size = [], 0
     for text in texts:
         run.append(text)
@@ -92,51 +93,52 @@ def _count(orders: tuple[int, ...]):
     return count
 
 
+def partial_counts(texts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
+    """(gram, n) for a frame with a column ``text``; a gram has a row for each stretch of text that was counted together."""
+    return texts.mapInPandas(_count(orders), "gram long, n long")
+
+
 def ngram_counts(texts: DataFrame, orders: tuple[int, ...]) -> DataFrame:
-    """(gram, n) for a frame with a column ``text``."""
-    return texts.mapInPandas(_count(orders), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return partial_counts(texts, orders).groupBy("gram").agg(F.sum("n").alias("n"))
+
 
+def _places(grams: np.ndarray, level: np.ndarray, stretches: int) -> tuple[np.ndarray, np.ndarray]:
+    """Filter word and bits of the entries (gram, level): four bits, which may fall together.
 
-def _places(grams: np.ndarray, level: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Filter word and bits of the entries (gram, level): four bits, which may fall together."""
+    All levels of an n-gram lie in one stretch of the filter, which one task can fill from the counts alone.
+    """
     h = mixed(grams + level * _PAIR)
-    word = (h >> np.uint64(24)) % np.uint64(words)
+    word = (h >> np.uint64(24)) % np.uint64(_STRETCH)
     bits = np.zeros_like(h)
     for i in range(4):
         bits |= _ONE << ((h >> np.uint64(6 * i)) & np.uint64(63))
-    return word.astype(np.int64), bits
-
-
-def _entries(words: int):
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            grams = batch["gram"].to_numpy().view(np.uint64)
-            levels = np.floor(np.log2(batch["n"].to_numpy())).astype(np.int64) + 1
-            which = np.repeat(np.arange(len(grams)), levels)
-            level = np.arange(len(which)) - np.repeat(np.cumsum(levels) - levels, levels) + 1
-            word, bits = _places(grams[which], level.astype(np.uint64), words)
-            yield pd.DataFrame({"stretch": (word // _STRETCH).astype(np.int32), "word": (word % _STRETCH).astype(np.int32), "bits": bits.view(np.int64)})
+    stretch = (grams.view(np.int64) >> np.int64(20)) % np.int64(stretches)
+    return stretch * _STRETCH + word.astype(np.int64), bits
 
-    return entries
 
+def _pack(stretches: int):
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        grams, which = np.unique(group["gram"].to_numpy().view(np.uint64), return_inverse=True)
+        n = np.bincount(which, group["n"].to_numpy())
+        levels = np.floor(np.log2(n)).astype(np.int64) + 1
+        which = np.repeat(np.arange(len(grams)), levels)
+        level = np.arange(len(which)) - np.repeat(np.cumsum(levels) - levels, levels) + 1
+        word, bits = _places(grams[which], level.astype(np.uint64), stretches)
+        packed = np.zeros(_STRETCH, np.uint64)
+        np.bitwise_or.at(packed, word % _STRETCH, bits)
+        return pd.DataFrame({"stretch": [key[0]], "packed": [packed.tobytes()]})
 
-def _pack(group: pd.DataFrame) -> pd.DataFrame:
-    packed = np.zeros(_STRETCH, np.uint64)
-    np.bitwise_or.at(packed, group["word"].to_numpy(), group["bits"].to_numpy().view(np.uint64))
-    return pd.DataFrame({"stretch": [group["stretch"].iloc[0]], "packed": [packed.tobytes()]})
+    return pack
 
 
 def build_filter(counts: DataFrame, tokens: int, bits_per_token: float = 4.0, most_bytes: int = 1 << 28) -> np.ndarray:
-    """The filter as an array of 64-bit words, at most ``most_bytes`` long."""
+    """The filter of (gram, n) rows, in which a gram may repeat; an array of 64-bit words, at most ``most_bytes`` long."""
     stretches = max(1, min(int(tokens * bits_per_token / 64 / _STRETCH) + 1, most_bytes // 8 // _STRETCH))
-    words = stretches * _STRETCH
-    packed = (
-        counts.mapInPandas(_entries(words), "stretch int, word int, bits long")
-        .groupBy("stretch")
-        .applyInPandas(_pack, "stretch int, packed binary")
-    )
-    out = np.zeros(words, np.uint64)
-    for r in packed.toLocalIterator():
+    stretch = F.pmod(F.shiftright("gram", 20), F.lit(stretches).cast("long"))
+    # Dealt out by the expression, the number of the stretch need not be shuffled along.
+    packed = counts.repartition(stretch).groupBy(stretch.alias("stretch")).applyInPandas(_pack(stretches), "stretch long, packed binary")
+    out = np.zeros(stretches * _STRETCH, np.uint64)
+    for r in packed.toArrow().to_pylist():
         out[r["stretch"] * _STRETCH : (r["stretch"] + 1) * _STRETCH] = np.frombuffer(r["packed"], np.uint64)
     return out
 
@@ -148,7 +150,7 @@ def levels_of(packed: np.ndarray, grams: np.ndarray, most: int = 64) -> np.ndarr
     for q in range(1, most + 1):
         if not len(left):
             break
-        word, bits = _places(grams[left], np.array([q], np.uint64), len(packed))
+        word, bits = _places(grams[left], np.array([q], np.uint64), len(packed) // _STRETCH)
         left = left[(packed[word] & bits) == bits]
         level[left] = q
     return level
@@ -195,31 +197,35 @@ def _hashes(shared) -> WordHashes:
     return WordHashes()
 
 
+def _scored(model: Model, hashes: WordHashes, run: list) -> pa.StructArray:
+    tokens, lengths = _tokens(run, hashes)
+    starts = np.cumsum(lengths) - lengths
+    score = np.add.reduceat(model.logs(tokens, lengths, np.uint64(hashes[END]) & ~_ONE), starts)
+    distinct, which = np.unique(tokens, return_inverse=True)
+    exact = model.exact(distinct)[which]
+    known = np.add.reduceat((exact > 0).astype(np.int64), starts)
+    base = np.add.reduceat(np.log10(exact + 1.0), starts)
+    # Words outside the head, counted per text.
+    rest = np.flatnonzero(exact == 0)
+    text = np.searchsorted(starts, rest, "right") - 1
+    gram = tokens[rest].view(np.int64)
+    order = np.lexsort((gram, text))
+    text, gram = text[order], gram[order]
+    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]))) if len(rest) else rest
+    times = np.diff(np.append(first, len(rest))).astype(np.int32)
+    words = pa.StructArray.from_arrays([pa.array(gram[first]), pa.array(times)], ["gram", "n"])
+    ends = np.searchsorted(text[first], np.arange(len(run) + 1)).astype(np.int32)
+    columns = {"n_tokens": pa.array(lengths), "score": pa.array(score), "known": pa.array(known), "logs": pa.array(base),
+               "rare": pa.ListArray.from_arrays(pa.array(ends), words)}
+    return pa.StructArray.from_arrays(list(columns.values()), list(columns))
+
+
 def _score_udf(shared):
-    def scored(texts: pd.Series) -> pd.DataFrame:
-        model, hashes, out = shared.value, _hashes(shared), []
-        for run in _runs(texts):
-            tokens, lengths = _tokens(run, hashes)
-            logs = model.logs(tokens, lengths, np.uint64(hashes[END]) & ~_ONE)
-            distinct, which = np.unique(tokens, return_inverse=True)
-            exact = model.exact(distinct)[which]
-            starts = np.cumsum(lengths) - lengths
-            score = np.add.reduceat(logs, starts)
-            known = np.add.reduceat((exact > 0).astype(np.int64), starts)
-            base = np.add.reduceat(np.log10(exact + 1.0), starts)
-            rest = np.flatnonzero(exact == 0)
-            ends = np.searchsorted(rest, starts + lengths)
-            at = 0
-            for i, stop in enumerate(ends):
-                rare = ()
-                if stop > at:
-                    gram, n = np.unique(tokens[rest[at:stop]].view(np.int64), return_counts=True)
-                    rare = list(zip(gram.tolist(), n.tolist(), strict=True))
-                at = stop
-                out.append((int(lengths[i]), float(score[i]), int(known[i]), float(base[i]), [{"gram": g, "n": n} for g, n in rare]))
-        return pd.DataFrame(out, columns=["n_tokens", "score", "known", "logs", "rare"])
-
-    return F.pandas_udf(scored, _SCORED)
+    def scored(texts: pa.Array) -> pa.Array:
+        hashes = _hashes(shared)
+        return pa.concat_arrays([_scored(shared.value, hashes, run) for run in _runs(texts.to_pylist(), 2_000_000)])
+
+    return F.arrow_udf(scored, _SCORED)
 
 
 def _head(unigrams: DataFrame, most_head: int) -> DataFrame:
@@ -251,7 +257,7 @@ def score_texts(
     unigrams = staged(ngram_counts(texts, (1,)), "unigrams")
     total = unigrams.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, vocabulary = total["n"] or 0, total["v"]
-    packed = build_filter(ngram_counts(texts, (1, 2)), tokens, bits_per_token, most_bytes)
+    packed = build_filter(partial_counts(texts, (1, 2)), tokens, bits_per_token, most_bytes)
     head = _head(unigrams, most_head).toArrow().sort_by("gram")
     grams = head.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(grams)
