@@ -85,3 +85,13 @@ def test_odd_texts(spark, documents):  # noqa: F811
     none = lm.score_texts(spark, docs, F.lit(False)).collect()
     assert len(none) == len(ODD) and all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in none)
     assert lm.score_texts(spark, docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_filter_in_stretches_gives_the_same_scores(spark, monkeypatch, documents):  # noqa: F811
+    monkeypatch.setattr(lm, "_STRETCH_TOKENS", 5_000)
+    monkeypatch.setattr(lm, "_RUN_CHARS", 100_000)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for frame, train in ((docs, F.col("doc_id") % 3 != 0), (documents(ODD), F.lit(True)), (documents(ODD), F.lit(False)), (docs.limit(0), F.lit(True))):
+        order = [F.col(c) for c in ("doc_id", "n_tokens", "n_known", "train_tokens")] + [F.round(c, 6) for c in ("base_score", "score")]
+        whole, parted = (sorted(lm.score_texts(spark, frame, train, **o).select(*order).collect()) for o in ({}, {"most_bytes": -1}))
+        assert whole == parted
