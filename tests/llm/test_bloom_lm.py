@@ -87,6 +87,23 @@ def test_odd_texts(spark, documents):  # noqa: F811
     assert lm.score_texts(spark, docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_error_rate_at_the_defaults_of_the_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    own = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    counts = lm.ngram_counts(docs.where(~own), (1, 2))
+    found = counts.toPandas()
+    grams, true = found["gram"].to_numpy().view(np.uint64), np.floor(np.log2(found["n"].to_numpy())).astype(int) + 1
+    for stretches in (1, 5):
+        packed = lm.collected(lm.filter_parts(counts, stretches), stretches)
+        level = packed.levels(grams)
+        assert (level >= true).all() and (level > true).mean() < 0.01
+        absent = np.random.default_rng(1).integers(0, 2**64, 200_000, np.uint64)
+        assert 0 < (packed.levels(absent) > 0).mean() < 0.01
+    # The scores of held-out texts, next to those from a filter that hardly errs.
+    scores = [lm.score_texts(spark, docs, ~own, **o).where(own).agg(F.sum("score") / F.sum("n_tokens")).first()[0] for o in ({}, {"bits_per_token": 400.0})]
+    assert abs(scores[0] - scores[1]) < 0.03
+
+
 def test_filter_in_stretches_gives_the_same_scores(spark, monkeypatch, documents):  # noqa: F811
     monkeypatch.setattr(lm, "_STRETCH_TOKENS", 5_000)
     monkeypatch.setattr(lm, "_RUN_CHARS", 100_000)

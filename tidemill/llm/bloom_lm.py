@@ -8,7 +8,7 @@ is one look into memory.
 
 Training is one shuffle of n-gram hashes, each task adding up its own first, by the stretch of the filter that all levels
 of an n-gram lie in; a task adds up the counts of a stretch and packs it into as many words as its entries need at
-``_ENTRY_BITS`` bits each, at any size of the input.
+``_ENTRY_BITS`` bits each, so that a probe for an absent entry hits with a probability under 1 % at any size of the input.
 A filter of at most ``most_bytes`` is broadcast. A larger one stays in its stretches: texts are dealt into runs, the distinct
 n-grams of a run are sent to the stretches they lie in, and their levels come back to the run. Both ways read the same
 bits, so scores do not depend on which is taken. There the texts are shuffled once.
@@ -42,7 +42,7 @@ _ONE = np.uint64(1)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = 1 << 14  # words of a stretch, where the caller sets the size of the filter
 _STRETCH_TOKENS = 1 << 17  # tokens for each stretch, where its entries set its size
-_ENTRY_BITS = 4  # bits of the filter for each entry
+_ENTRY_BITS = 14  # bits of the filter for each entry
 _RUN_CHARS = 4_000_000
 END = b" "  # no word holds a space
 
