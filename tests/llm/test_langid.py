@@ -60,3 +60,26 @@ def test_without_labels_all_is_unknown(spark, documents):  # noqa: F811
     docs = documents([(1, "some words", None, "a"), (None, "other", None, None)])
     found = docs.select(langid.identify(spark, docs, F.lit(True)).alias("x")).collect()
     assert [r["x"]["lang"] for r in found] == ["und", "und"]
+
+
+def test_the_end_of_a_long_word_tells():
+    same = "pneumonoultramicroscopicsilicovolcanoconi"
+    field = langid.fit([*((f"{same}{x}owing {x}nowing", "en") for x in "bcdfgh" * 10), *((f"{same}{x}eront {x}neront", "fr") for x in "bcdfgh" * 10)])
+    found = list(langid.predict(field, [f"{same}zzowing", f"{same}zzeront"]))
+    assert [f[0] for f in found] == ["en", "fr"] and all(f[1] > 0.6 for f in found)
+
+
+def test_text_without_spaces_is_read_to_its_end():
+    english = "the cat and the dog went home with the other one"
+    french = "le chat et le chien sont dans la maison avec des autres"
+    field = langid.fit([*((english, "en") for _ in range(30)), *((french, "fr") for _ in range(30))])
+    for gap in ("\u00a0", "\u3000", ""):
+        texts = [gap.join((french + " " + (english + " ") * 20).split()), gap.join((english + " " + (french + " ") * 20).split())]
+        assert [f[0] for f in langid.predict(field, texts)] == ["en", "fr"]
+
+
+def test_emissions_in_parts(monkeypatch):
+    field = langid.fit([("the cat and the dog", "en"), ("le chat et le chien", "fr")] * 10)
+    words = ["the", "chien" * 50, "12", "a", "le"] * 20
+    monkeypatch.setattr(langid, "_LETTERS", 40)
+    np.testing.assert_array_equal(field.emissions_in_parts(words), field.emissions(words))

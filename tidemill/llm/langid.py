@@ -8,7 +8,8 @@ word its probability of each language; a text's language has the largest mean ov
 Training: the field is fitted on the driver to at most ``per_language`` labelled rows of each language and
 ``most_languages`` languages, chosen by a hash of their ids and of at most ``row_words`` words each; these bounds are
 parameters and bound what is sent to the driver. The lexicon is part of the model. Prediction reads whole texts, in
-batches whose words are handled together by numpy; a text's work is linear in its length.
+batches whose words are handled together by numpy; every letter of a word is looked at, and a text's work is linear in its
+length.
 
 A NULL text, or one without a letter, is ``und`` with score 0. Words without a letter pass the chain on but have no say.
 Ties between languages go to the first in order of name. If no labelled row exists, every text is ``und``. Rows are
@@ -33,7 +34,7 @@ from tidemill.llm.common import crc_of, mixed, table
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SLOTS = 1 << 17
-_LETTERS = 24  # of a word that are looked at
+_LETTERS = 400_000  # of the words whose features are computed together
 _RESULT = "struct<lang:string,score:double,words:long>"
 
 
@@ -70,7 +71,7 @@ def word_features(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.nd
     own = np.array([i for i, w in enumerate(words) if has_letter(w)], np.int64)
     if not len(own):
         return own, own
-    marked = [f"^{words[i][:_LETTERS]}$" for i in own]
+    marked = [f"^{words[i]}$" for i in own]
     code = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     end = np.cumsum(size) - 1
@@ -103,6 +104,12 @@ class Field:
         slots, word = word_features(words, self.lexicon)
         return np.stack([np.bincount(word, self.weights[slots, k], len(words)) for k in range(len(self.langs))], 1).astype(np.float32)
 
+    def emissions_in_parts(self, words: list[str]) -> np.ndarray:
+        """The same, by parts of about ``_LETTERS`` letters; a word is never cut."""
+        part = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 2) // _LETTERS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(words)]
+        return np.concatenate([self.emissions(words[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray, learning: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of each word, and when learning the summed probabilities of each move.
@@ -207,7 +214,7 @@ def label_words(field: Field, texts: list[str]) -> Iterator[tuple[np.ndarray, np
         yield from ((np.zeros((0, len(field.langs))), np.zeros(0, bool)) for _ in texts)
         return
     names, words = list(known), np.concatenate(ids)
-    emissions = np.concatenate([field.emissions(names[i : i + 50_000]) for i in range(0, len(names), 50_000)])
+    emissions = field.emissions_in_parts(names)
     marginal, _ = forward_backward(emissions[words], lengths, field.moves)
     lettered = np.fromiter(map(has_letter, names), bool, len(names))[words]
     ends = np.cumsum(lengths)
