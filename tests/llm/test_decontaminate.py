@@ -90,3 +90,34 @@ def test_odd_texts_and_items(spark, documents):  # noqa: F811
     assert kept.columns == docs.columns and kept.count() == n
     assert dc.find_contamination(spark, docs.drop("item_id"), items.limit(0)).count() == 0
     assert dc.drop_contaminated(spark, docs.limit(0), items).count() == 0
+
+
+def plain_all(pattern, text, edits):
+    """The best match, then those in the text left and right of it."""
+    distance, stop = plain_best(pattern, text)
+    if distance > edits:
+        return []
+    length = plain_best(pattern[::-1], text[:stop][::-1])[1]
+    start = stop - length
+    right = [(a + stop, b + stop, d) for a, b, d in plain_all(pattern, text[stop:], edits)]
+    return [*plain_all(pattern, text[:start], edits), (start, stop, distance), *right]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc", min_size=6, max_size=20), st.lists(st.text("abc", max_size=12), max_size=5), st.integers(0, 2))
+def test_all_matches_against_searching_again(pattern, between, edits):
+    text = pattern.join(between) + pattern[1:] + pattern[:-1]
+    assert dc.all_matches(pattern, text, edits) == plain_all(pattern, text, edits)
+
+
+def test_repeated_adjacent_copies_are_each_reported(spark, documents):  # noqa: F811
+    rng = random.Random(8)
+    item = sentence(rng, 12)
+    near = item[:20] + "#" + item[21:]
+    cut = item[:30] + item[32:]
+    texts = [item * 7, " ".join([near] * 5), "".join([item, near, cut, item, cut]), "x " + item + "; " + near + " y " + near]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = dc.find_contamination(spark, documents(texts), bench).orderBy("doc_id", "start").collect()
+    by = {i: [r["distance"] for r in found if r["doc_id"] == i] for i in range(4)}
+    assert by == {0: [0] * 7, 1: [1] * 5, 2: [0, 1, 2, 0, 2], 3: [0, 1, 1]}
+    assert all(a["doc_id"] != b["doc_id"] or a["stop"] <= b["start"] for a, b in zip(found, found[1:], strict=False))

@@ -9,12 +9,15 @@ is broadcast is bounded; a benchmark of several blocks is searched in as many pa
 
 Whole texts are searched. A NULL or empty text has no match. Items that are NULL or shorter than ``min_chars`` are not
 searched, as they would occur by chance. Items with equal text are each reported, and repeated documents each get their
-rows. Overlapping windows of an item in a document are one match, the best of them (the first, if equal). An empty
-table of either kind gives no match. Other columns are not read.
+rows. Of overlapping copies of an item the best is a match (the one that ends first, if equal), and the text left and right
+of it is searched again until no part is within the budget, so adjacent copies are each reported. An empty table of either
+kind gives no match. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +38,8 @@ def pieces(text: str, edits: int) -> Iterator[tuple[int, str]]:
         yield n * i // m, text[n * i // m : n * (i + 1) // m]
 
 
-def best_match(pattern: str, text: str) -> tuple[int, int]:
-    """Least edit distance of ``pattern`` to any part of ``text``, and where the first such part ends.
+def _distances(pattern: str, text: str) -> Iterator[int]:
+    """After each character of ``text``, the least edit distance of ``pattern`` to a part that ends there.
 
     Myers' algorithm: the column of the distance table is held as bits of two integers.
     """
@@ -45,8 +48,8 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
     for i, c in enumerate(pattern):
         at[c] = at.get(c, 0) | 1 << i
     full, last = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best, end = full, 0, m, m, 0
-    for j, c in enumerate(text):
+    up, down, score = full, 0, m
+    for c in text:
         eq = at.get(c, 0)
         diagonal = (((eq & up) + up) ^ up) | eq | down
         rise = down | ~(diagonal | up) & full
@@ -59,11 +62,49 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
         fall = fall << 1 & full
         up = fall | ~(diagonal | rise) & full
         down = rise & diagonal
+        yield score
+
+
+def best_match(pattern: str, text: str) -> tuple[int, int]:
+    """Least edit distance of ``pattern`` to any part of ``text``, and where the first such part ends."""
+    best, end = len(pattern), 0
+    for j, score in enumerate(_distances(pattern, text), 1):
         if score < best:
-            best, end = score, j + 1
+            best, end = score, j
     return best, end
 
 
+def all_matches(pattern: str, text: str, edits: int) -> list[tuple[int, int, int]]:
+    """(start, stop, distance) of parts of ``text`` within the budget that do not overlap, the best first chosen.
+
+    A match changes the distances of ends close behind it only, and those are computed again; so the work is linear.
+    """
+    within = {j: d for j, d in enumerate(_distances(pattern, text), 1) if d <= edits}
+    heap = [(d, j) for j, d in within.items()]
+    heapq.heapify(heap)
+    taken: list[tuple[int, int, int]] = []
+    while heap:
+        distance, stop = heapq.heappop(heap)
+        if within.get(stop) != distance:
+            continue
+        place = bisect(taken, (stop,))
+        floor = taken[place - 1][1] if place else 0
+        # The end is known: the start is where the reversed item ends in the reversed text.
+        length = best_match(pattern[::-1], text[max(floor, stop - len(pattern) - edits) : stop][::-1])[1]
+        if not length:
+            del within[stop]
+            continue
+        insort(taken, (stop - length, stop, distance))
+        behind = min(taken[place + 1][0] if place + 1 < len(taken) else len(text), stop + len(pattern) + edits)
+        for j in range(stop - length + 1, behind + 1):
+            within.pop(j, None)
+        for j, d in enumerate(_distances(pattern, text[stop:behind]), stop + 1):
+            if d <= edits:
+                within[j] = d
+                heapq.heappush(heap, (d, j))
+    return taken
+
+
 class Searcher:
     """Finds the items of one block in texts."""
 
@@ -103,20 +144,10 @@ class Searcher:
         found = []
         for i, lo, hi in self.windows(text):
             key, item, edits = self.items[i]
-            exact = text.find(item, lo, hi)
-            if exact >= 0:
-                found.append((key, exact, exact + len(item), 0))
-                continue
             window = text[lo:hi]
             if (i, window) not in known:
-                distance, stop = best_match(item, window)
-                length = 0
-                if distance <= edits:  # the end is known: the start is where the reversed item ends in the reversed text
-                    length = best_match(item[::-1], window[:stop][::-1][: len(item) + edits])[1]
-                known[i, window] = distance, stop, length
-            distance, stop, length = known[i, window]
-            if distance <= edits:
-                found.append((key, lo + stop - length, lo + stop, distance))
+                known[i, window] = all_matches(item, window, edits)
+            found += [(key, lo + start, lo + stop, distance) for start, stop, distance in known[i, window]]
         return sorted(found)
 
 
