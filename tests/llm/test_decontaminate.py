@@ -121,3 +121,15 @@ def test_repeated_adjacent_copies_are_each_reported(spark, documents):  # noqa:
     by = {i: [r["distance"] for r in found if r["doc_id"] == i] for i in range(4)}
     assert by == {0: [0] * 7, 1: [1] * 5, 2: [0, 1, 2, 0, 2], 3: [0, 1, 1]}
     assert all(a["doc_id"] != b["doc_id"] or a["stop"] <= b["start"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_items_without_id_and_short_items_are_searched(spark, documents):  # noqa: F811
+    item, other = "a passage that is long enough to be looked for", "another passage that no item with an id has"
+    texts = [f"x {other}y", f"so: what is 6 x 7? or 16 x 7? {item}", "what is 6 x 70?", "(what is 6 x 7?)what is 6 x 7?", "nothing"]
+    bench = spark.createDataFrame([(1, item), (None, item), (None, other), (None, other), (7, "what is 6 x 7?"), (8, "6 x 7")], "item_id long, text string")
+    want = [(0, None, 2), (1, 1, 30), (1, 7, 4), (1, 8, 12), (3, 7, 1), (3, 7, 16), (3, 8, 9), (3, 8, 24)]
+    for blocks in ({}, {"block_chars": 40}):
+        found = dc.find_contamination(spark, documents(texts), bench, **blocks).collect()
+        order = lambda r: (r[0], -1 if r[1] is None else r[1], r[2])
+        assert sorted(((r["doc_id"], r["item_id"], r["start"]) for r in found), key=order) == want
+        assert {r["doc_id"] for r in dc.drop_contaminated(spark, documents(texts), bench, **blocks).collect()} == {2, 4}

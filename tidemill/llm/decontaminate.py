@@ -7,9 +7,11 @@ would lie, and Myers' bit-parallel algorithm computes the least edit distance wi
 The documents are not shuffled. The items go to the workers in blocks of at most ``block_chars`` code points, so what
 is broadcast is bounded; a benchmark of several blocks is searched in as many passes of the same task.
 
-Whole texts are searched. A NULL or empty text has no match. Items that are NULL or shorter than ``min_chars`` are not
-searched, as they would occur by chance. Items with equal text are each reported, and repeated documents each get their
-rows. Of overlapping copies of an item the best is a match (the one that ends first, if equal), and the text left and right
+Whole texts are searched. A NULL or empty text has no match, nor has an item that is NULL or empty. Items shorter than
+``min_chars`` would occur by chance: they are searched exactly, where neither a letter nor a digit stands next to them.
+Items with equal text are each reported, and repeated documents each get their rows. An item with a NULL id is reported
+with a NULL ``item_id``, once for each text, and under their ids only if other items have the same text.
+Of overlapping copies of an item the best is a match (the one that ends first, if equal), and the text left and right
 of it is searched again until no part is within the budget, so adjacent copies are each reported. An empty table of either
 kind gives no match. Other columns are not read.
 """
@@ -105,11 +107,23 @@ def all_matches(pattern: str, text: str, edits: int) -> list[tuple[int, int, int
     return taken
 
 
+def whole_copies(item: str, text: str, lo: int, hi: int) -> Iterator[int]:
+    """Where exact copies start in ``text[lo:hi]`` that do not overlap and are not part of a longer word or number."""
+    at = text.find(item, lo, hi)
+    while at >= 0:
+        stop = at + len(item)
+        free = not (at and text[at - 1].isalnum()) and not (stop < len(text) and text[stop].isalnum())
+        if free:
+            yield at
+        at = text.find(item, stop if free else at + 1, hi)
+
+
 class Searcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], rate: float):
-        self.items = [(key, text, int(rate * len(text))) for key, text in items]
+    def __init__(self, items: tuple[tuple[int | None, str], ...], rate: float, min_chars: int):
+        self.items = [(key, text, int(rate * len(text)) if len(text) >= min_chars else 0) for key, text in items]
+        self.min_chars = min_chars
         where: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text, edits) in enumerate(self.items):
             for offset, piece in pieces(text, edits):
@@ -144,32 +158,37 @@ class Searcher:
         found = []
         for i, lo, hi in self.windows(text):
             key, item, edits = self.items[i]
+            if len(item) < self.min_chars:
+                found += [(key, start, start + len(item), 0) for start in whole_copies(item, text, lo, hi)]
+                continue
             window = text[lo:hi]
             if (i, window) not in known:
                 known[i, window] = all_matches(item, window, edits)
             found += [(key, lo + start, lo + stop, distance) for start, stop, distance in known[i, window]]
-        return sorted(found)
+        return sorted(found, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
 
 
 @lru_cache(maxsize=4)
-def _searcher(items: tuple[tuple[int, str], ...], rate: float) -> Searcher:
-    return Searcher(items, rate)
+def _searcher(items: tuple[tuple[int | None, str], ...], rate: float, min_chars: int) -> Searcher:
+    return Searcher(items, rate, min_chars)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, min_chars: int, block_chars: int) -> Iterator[tuple]:
-    kept = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text") >= min_chars)
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[tuple]:
+    kept = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
+    named = kept.where(F.col("id").isNotNull())
+    kept = named.unionByName(kept.where(F.col("id").isNull()).distinct().join(named.select("text"), "text", "left_anti"))
     size = kept.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // max(1, block_chars // 2)))  # at half the bound on average, as hashing is uneven
     for b in range(n):
         own = kept.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) if n > 1 else kept
-        rows = tuple(sorted((r["id"], r["text"]) for r in own.toLocalIterator() if r["id"] is not None))
+        rows = tuple(sorted(((r["id"], r["text"]) for r in own.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
         if rows:
             yield rows
 
 
-def _search_udf(shared, rate: float):
+def _search_udf(shared, rate: float, min_chars: int):
     def search(texts: pd.Series) -> pd.Series:
-        searcher, known = _searcher(shared.value, rate), {}
+        searcher, known = _searcher(shared.value, rate, min_chars), {}
         names = ("item", "start", "stop", "distance")
         return pd.Series([[dict(zip(names, m, strict=True)) for m in searcher.matches(t, known)] for t in texts], dtype=object)
 
@@ -188,8 +207,8 @@ def contamination(
 ) -> Column:
     """The matches in a text as a column of (item, start, stop, distance); positions are code points."""
     found = []
-    for rows in _blocks(items, item_id, item_text, min_chars, block_chars):
-        found.append(_search_udf(spark.sparkContext.broadcast(rows), rate)(text))
+    for rows in _blocks(items, item_id, item_text, block_chars):
+        found.append(_search_udf(spark.sparkContext.broadcast(rows), rate, min_chars)(text))
     return F.concat(*found) if found else F.array().cast(_MATCHES)
 
 
