@@ -83,3 +83,15 @@ def test_emissions_in_parts(monkeypatch):
     words = ["the", "chien" * 50, "12", "a", "le"] * 20
     monkeypatch.setattr(langid, "_LETTERS", 40)
     np.testing.assert_array_equal(field.emissions_in_parts(words), field.emissions(words))
+
+
+def test_training_reads_more_than_the_heads_of_long_texts():
+    head = "licence terms apply " * 200
+    english, french = "the cat and the dog went home with the other one ", "le chat et le chien sont dans la maison avec des autres "
+    rows = [(f"{i} " + head + own * 200, lang) for i in range(10) for own, lang in ((english, "en"), (french, "fr"))]
+    field = langid.fit(rows)
+    assert [f[0] for f in langid.predict(field, [english, french])] == ["en", "fr"]
+    for text, _ in rows:
+        chunks = langid.sampled_chunks(text, 400)
+        assert sum(map(len, chunks)) <= 400 and chunks == langid.sampled_chunks(text, 400)
+    assert langid.sampled_chunks("A b " * 100, 400) == [["a", "b"] * 32] * 3 + [["a", "b"] * 4]

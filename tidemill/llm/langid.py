@@ -6,8 +6,9 @@ the language the lexicon holds it for. Transitions between neighbouring words ar
 word its probability of each language; a text's language has the largest mean over its words, and that mean is the score.
 
 Training: the field is fitted on the driver to at most ``per_language`` labelled rows of each language and
-``most_languages`` languages, chosen by a hash of their ids and of at most ``row_words`` words each; these bounds are
-parameters and bound what is sent to the driver. The lexicon is part of the model. Prediction reads whole texts, in
+``most_languages`` languages (others are never predicted), chosen by a hash of their ids, and to at most ``row_words`` words
+of a row, in whole chunks of 64 words chosen by a hash from all of the row's text. These bounds are parameters. The lexicon is
+part of the model. Prediction reads whole texts, in
 batches whose words are handled together by numpy; every letter of a word is looked at, and a text's work is linear in its
 length.
 
@@ -152,15 +153,25 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     return marginal[place], pairs
 
 
+def sampled_chunks(text: str, row_words: int) -> list[list[str]]:
+    """The lower-cased words of a text in chunks of 64, or as many of its chunks, by hash, as hold ``row_words`` words."""
+    words = [w.lower() for w in _WORD.findall(text)]
+    chunks = [words[i : i + 64] for i in range(0, len(words), 64)]
+    if len(words) <= row_words:
+        return chunks
+    own = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    drawn = sorted(range(len(chunks)), key=lambda i: xxhash.xxh64_intdigest(str(i), own))[: max(1, row_words // 64)]
+    return [chunks[i] for i in sorted(drawn)]
+
+
 def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridge: float = 1e-6, rate: float = 0.3) -> Field:
     """A field for (text, language) rows, by Adagrad on the likelihood of chunks of 64 words."""
     langs = sorted({lang for _, lang in rows})
-    tokens = [([w.lower() for w in _WORD.findall(text)[:row_words]], langs.index(lang)) for text, lang in rows]
-    lexicon = Lexicon.learn(tokens)
+    chunks = [(words, langs.index(lang)) for text, lang in rows for words in sampled_chunks(text, row_words)]
+    lexicon = Lexicon.learn(chunks)
     field = Field(langs, lexicon)
     if not langs:
         return field
-    chunks = [(words[i : i + 64], lang) for words, lang in tokens for i in range(0, len(words), 64)]
     ids: dict[str, int] = {}
     for words, _ in chunks:
         for w in words:
