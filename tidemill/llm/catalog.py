@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.bloom_lm import op10_bloom_lm
 from tidemill.llm.decontaminate import op2_decontamination
+from tidemill.llm.exact_copies import OP13_SQL, op13_exact_dedup
 from tidemill.llm.hosts import OP6_SQL, op6_host_reputation
 from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_bloom_lm": op10_bloom_lm,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL}
+ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL, "op13_exact_dedup": OP13_SQL}
