@@ -12,6 +12,7 @@ from tidemill.llm.exact_copies import OP13_SQL, op13_exact_dedup
 from tidemill.llm.hosts import OP6_SQL, op6_host_reputation
 from tidemill.llm.jaccard import op4_ngram_jaccard
 from tidemill.llm.langid import op8_language_id
+from tidemill.llm.lexical import OP11_SQL, op11_ranked_search
 from tidemill.llm.outliers import op7_outliers
 from tidemill.llm.pieces import op9_sentencepiece
 from tidemill.llm.pii import op1_pii
@@ -29,7 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_bloom_lm": op10_bloom_lm,
+    "op11_ranked_search": op11_ranked_search,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL, "op13_exact_dedup": OP13_SQL}
+ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL, "op11_ranked_search": OP11_SQL, "op13_exact_dedup": OP13_SQL}
