@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.bloom_lm import op10_bloom_lm
+from tidemill.llm.collocations import OP12_SQL, op12_collocations
 from tidemill.llm.decontaminate import op2_decontamination
 from tidemill.llm.exact_copies import OP13_SQL, op13_exact_dedup
 from tidemill.llm.hosts import OP6_SQL, op6_host_reputation
@@ -31,7 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_bloom_lm": op10_bloom_lm,
     "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL, "op11_ranked_search": OP11_SQL, "op13_exact_dedup": OP13_SQL}
+ORACLE: dict[str, str] = {"op6_host_reputation": OP6_SQL, "op11_ranked_search": OP11_SQL, "op12_collocations": OP12_SQL, "op13_exact_dedup": OP13_SQL}
