@@ -143,9 +143,8 @@ def _ids(shared) -> dict[str, dict[bytes, int]]:
     out: dict[str, dict[bytes, int]] = {}
     at = 1
     for lang, words in shared.value:
-        listed = words.split(b" ") if words else []
-        out[lang] = dict(zip(listed, range(at, at + len(listed)), strict=True))
-        at += len(listed)
+        out[lang] = dict(zip(words.cast(pa.binary()).to_pylist(), range(at, at + len(words)), strict=True))
+        at += len(words)
     return out
 
 
@@ -223,6 +222,17 @@ def _most_frequent(words: DataFrame, most_words: int, most_bytes: int) -> DataFr
     return words.where(step >= least) if least is not None else words.limit(0)
 
 
+def _by_lang(numbered: DataFrame) -> tuple[list[tuple[str, pa.Array]], int]:
+    """The words of each language in the order of their ids, and the number of all."""
+    words = numbered.toArrow().sort_by("id").combine_chunks()
+    if not words.num_rows:
+        return [], 0
+    lang = words["lang"].combine_chunks().dictionary_encode()
+    first = np.flatnonzero(np.append(True, np.diff(lang.indices.to_numpy()) != 0))
+    ends = [*first[1:], words.num_rows]
+    return [(words["lang"][int(a)].as_py(), pa.concat_arrays([words["word"].slice(int(a), int(b - a)).combine_chunks()])) for a, b in zip(first, ends, strict=True)], words.num_rows
+
+
 def frequent_phrases(
     spark: SparkSession, docs: DataFrame, words: DataFrame, min_count: int, most_words: int, most_bytes: int, stretch_bytes: int, region: int
 ) -> DataFrame:
@@ -230,18 +240,13 @@ def frequent_phrases(
     (binary), ``words`` the frequent words (lang, word, n)."""
     counted = words.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     head = _most_frequent(words, most_words, most_bytes)
-    listed = head.select("lang", "word").toArrow().sort_by([("lang", "ascending"), ("word", "ascending")])
-    langs, listed_words = listed["lang"].to_pylist(), listed["word"].to_pylist()
-    by_lang: dict[str, list[str]] = {}
-    for lang, word in zip(langs, listed_words, strict=True):
-        by_lang.setdefault(lang, []).append(word)
-    shared = spark.sparkContext.broadcast([(lang, " ".join(own).encode()) for lang, own in by_lang.items()])
+    # One task numbers the words, of which there are no more than ids.
+    numbered = staged(head.select("lang", "word", F.row_number().over(Window.orderBy("lang", "word")).cast("long").alias("id")), "ids")
+    listed, with_id = _by_lang(numbered)
+    shared = spark.sparkContext.broadcast(listed)
     region_bits = (2 * counted["n"] // region).bit_length()
     filters = docs.mapInArrow(_filters(shared, region_bits, stretch_bytes), "region long, filter binary")
     grams = staged(filters.groupBy("region").applyInArrow(_merging(region_bits, min_count), "gram long, n long"), "grams")
-    named = spark.createDataFrame(
-        pa.table({"id": pa.array(range(1, len(langs) + 1), pa.int64()), "lang": listed["lang"], "word": listed["word"]})
-    )
     mask = F.lit(_MOST_WORDS).cast("long")
     last = grams.select(
         F.shiftright("gram", 2 * _ID_BITS).alias("a"),
@@ -250,10 +255,10 @@ def frequent_phrases(
         "n",
     )
     for name in "abc":
-        own = named.select(F.col("id").alias(name), F.col("word").alias(f"{name}_word"), *([F.col("lang")] if name == "c" else []))
+        own = numbered.select(F.col("id").alias(name), F.col("word").alias(f"{name}_word"), *([F.col("lang")] if name == "c" else []))
         last = last.join(own, name, "left")
     found = last.select("lang", F.array_compact(F.array("a_word", "b_word", "c_word")).alias("words"), "n")
-    if len(langs) == counted["words"]:
+    if with_id == counted["words"]:
         return found
     rest = docs.mapInArrow(_texts(shared, stretch_bytes), "lang string, words array<string>, n long")
     rest = rest.groupBy("lang", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
