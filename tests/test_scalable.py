@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import random
 from collections import Counter, defaultdict
@@ -13,17 +14,23 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.operators import (
+    anchored,
     anchored_tumbling,
     approx_percentiles,
     attach_by_key,
     drop_replays,
     exact_percentiles,
+    merged_percentiles,
+    percentile_sketches,
     skip_processed,
     sliding_average,
     trailing_average,
     tumbling_totals,
     window_record,
+    with_entity_summary,
 )
+from tidemill.plans.features import bucketed_features
+from tidemill.sources import write_bucketed
 
 EPOCH = dt.datetime(2024, 1, 1)
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -169,7 +176,7 @@ def anchored_by_loop(rows, size_s):
 
 
 def check_anchored(spark, rows, size_s, per_segment):
-    got = anchored_tumbling(events_frame(spark, rows), size_s=size_s, windows_per_segment=per_segment).collect()
+    got = anchored_tumbling(events_frame(spark, rows), size_s=size_s, rows_per_segment=1 << (per_segment - 1).bit_length()).collect()
     expected = anchored_by_loop(rows, size_s)
     assert {(r.user_id, r.window_start): r.tx_count for r in got} == {k: n for k, (n, _) in expected.items()}
     for r in got:
@@ -182,6 +189,21 @@ def test_anchored_windows(spark, per_segment):
     check_anchored(spark, skewed_events(), 10, per_segment)
 
 
+def test_anchored_windows_of_a_hot_user_in_bounded_segments(spark, conf, monkeypatch):
+    """A user with most of the rows lies in many ranges and segments, none of which has more rows than any other."""
+    made = {}
+    monkeypatch.setattr("tidemill.operators.anchored.staged", lambda df, name, real=anchored.staged: made.setdefault(name, real(df, name)))
+    conf("spark.sql.shuffle.partitions", "6")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(i, 1 if i % 4 else i % 40, EPOCH + dt.timedelta(seconds=i * 7 % 5000), 1.0) for i in range(4000)]
+    check_anchored(spark, rows, 60, 16)
+    sizes = [r["count"] for r in made["points"].groupBy("_key", "_segment").count().collect()]
+    ranges = [r["count"] for r in made["points"].groupBy("_range").count().collect()]
+    assert max(sizes) <= 16 and len(ranges) == 6 and max(ranges) <= 2 * sorted(ranges)[3]
+    assert made["exits"].where("_key = 1").select("_range").distinct().count() >= 4
+    assert made["exits"].agg(F.max(F.size("_enter"))).first()[0] <= 16
+
+
 def test_anchored_windows_over_small_batches(spark, conf):
     conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     check_anchored(spark, skewed_events(1200), 10, 3)
@@ -244,3 +266,29 @@ def test_window_record(spark):
     records = window_record(windows, "category", ("tx_count", "total_amount")).collect()
     assert sum(r.aggregates[k].tx_count for r in records for k in r.aggregates) == 300
     assert all(list(r.aggregates) == sorted(r.aggregates) for r in records)
+
+
+def test_merged_sketches_keep_to_their_error(spark):
+    rng = random.Random(2)
+    rows = [(i % 30, "big" if i % 3 else "small", rng.lognormvariate(2, 3)) for i in range(30_000)] + [(0, "none", None), (1, "none", None)]
+    df = spark.createDataFrame(rows, "day int, k string, v double")
+    daily = percentile_sketches(df, "v", ["k", "day"])
+    for r in merged_percentiles(daily, (1, 50, 99), ["k"]).collect():
+        values = sorted(v for _, k, v in rows if k == r.k and v is not None)
+        assert r.n == len(values)
+        for p, found in zip((1, 50, 99), list(r)[2:], strict=True):
+            assert found is None if not values else abs(bisect.bisect(values, found) / len(values) - p / 100) < 0.01
+
+
+def test_bucketed_rows_are_not_shuffled(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(i, i % 50, 1.0 * i, i % 4, i % 2, 60) for i in range(2000)]
+    df = spark.createDataFrame(rows, "transaction_id long, user_id long, amount double, items_in_cart long, is_returned long, session_duration long")
+    write_bucketed(df, "bucketed_rows", buckets=8, path=str(tmp_path / "b"))
+    table = spark.table("bucketed_rows")
+    found = bucketed_features(table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = with_entity_summary(df).select(*found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    spark.sql("DROP TABLE bucketed_rows")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -12,17 +13,25 @@ from pyspark.sql import functions as F
 
 from tidemill.__main__ import main
 from tidemill.operators import drop_late, drop_replays, sliding_average, split_corrupt, tumbling_totals, window_record
-from tidemill.plans import run_window_job
-from tidemill.sources import feed_lines, is_blank, read_feed, stream_feed
+from tidemill.plans import WINDOWS, read_windows, run_window_job
+from tidemill.plans import windows as window_job
+from tidemill.sources import feed_lines, is_blank, read_feed, stream_feed, stream_named
 from tidemill.streaming import (
+    anchored_stream,
     batch_log,
+    committed,
+    compact,
     deduplicated_stream,
     drain,
     ingest,
     latency_report,
+    open_windows,
     sliding_stream,
+    trailing_stream,
     tumbling_stream,
+    vacuum,
 )
+from tidemill.streaming import feeds
 
 START = dt.datetime(2024, 3, 1, 10, 0, tzinfo=dt.timezone.utc)
 
@@ -217,6 +226,214 @@ def test_rows_without_id_time_or_key_are_kept(spark):
     assert record.aggregates == {"(none)": 1, "a": 2}
 
 
+def test_odd_amounts_are_rejects_and_the_job_goes_on(spark, feed, tmp_path):
+    out = str(tmp_path / "out")
+    odd = [1e30, -1e30, float("nan"), float("inf"), 1e15]
+    feed.add(feed.event(0, amount=1.5), *[feed.event(1, amount=a) for a in odd], feed.event(2, discount_pct=float("nan")))
+    first = run_window_job(spark, str(feed.path), out, flush=True).first()
+    assert (first.total_events, first.total_batches) == (1, 1)
+    assert [r.avg_amount for r in read_windows(spark, out, "sliding").collect()] == [1.5] * 3
+    feed.add(feed.event(1, amount=2.5, region=None), feed.event(3, region="(none)"), feed.event(3, region="(none)'"))
+    run_window_job(spark, str(feed.path), out, flush=True)
+    records = spark.read.json(f"{out}/sliding_windows").collect()
+    assert all(r.region_avg_amount.asDict() == {"north": 1.5, "(none)": 2.5, "(none)'": 13.0, "(none)''": 13.0} for r in records)
+    log = spark.read.parquet(f"{out}/log")
+    assert log.where("outcome = 'rejected'").count() == len(odd) + 1
+
+
+def test_odd_amounts_in_tables(spark):
+    rows = [(START, "a", x) for x in (1.5, float("nan"), 1e30, float("inf"), None)] + [(START, "b", float("nan"))]
+    df = spark.createDataFrame(rows, "timestamp timestamp, region string, amount double")
+    found = {r.region: r.avg_amount for r in sliding_average(df, size_s=10).collect()}
+    assert found == {"a": 1.5, "b": None}
+
+
+def test_records_of_many_keys_are_split(spark):
+    rows = [(1, k, i) for i, k in enumerate([None, *"abcdefg"])] + [(2, "a", 1)]
+    windowed = spark.createDataFrame(rows, "w int, k string, n int")
+    parts = window_record(windowed, "k", ("n",), by=("w",), most_keys=3).collect()
+    assert sorted((r.w, len(r.aggregates)) for r in parts) == [(1, 2), (1, 3), (1, 3), (2, 1)]
+    assert {k: v for r in parts if r.w == 1 for k, v in r.aggregates.items()} == {"(none)": 0} | {k: i for i, k in enumerate("abcdefg", 1)}
+
+
+@pytest.mark.parametrize("flush", [False, True])
+def test_feed_without_events(spark, tmp_path, flush):
+    """A feed that is not there yet, then has no files, then blank lines only, then rejects only, then events."""
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    def report():
+        row = run_window_job(spark, str(feed), out, flush=flush).first()
+        return row.total_events, row.total_batches
+    assert report() == (0, 0)
+    assert report() == (0, 0)
+    (feed / "batch_0.jsonl").write_text("\n   \n\t\n")
+    assert report() == (0, 1)
+    (feed / "batch_1.jsonl").write_text("junk\n")
+    assert report() == (0, 1)
+    assert read_windows(spark, out, "tumbling").count() == 0
+    event = {"event_id": 1, "timestamp": START.isoformat(), "category": "food", "amount": 2.0}
+    (feed / "batch_2.jsonl").write_text(json.dumps(event) + "\n")
+    assert report() == (1, 1)
+    assert read_windows(spark, out, "tumbling").count() == int(flush)
+
+
+def test_flush_makes_no_window_of_late_events_alone(spark, feed, tmp_path):
+    """A window before the watermark without a row was never written; an event that comes after must not open it."""
+    out = str(tmp_path / "out")
+    feed.add(feed.event(0), feed.event(100))
+    run_window_job(spark, str(feed.path), out)
+    feed.add(feed.event(50), feed.event(96))
+    run_window_job(spark, str(feed.path), out, flush=True)
+    found = sorted((r.window_start.minute * 60 + r.window_start.second, r.tx_count) for r in read_windows(spark, out, "tumbling").collect())
+    assert found == [(0, 1), (90, 1), (100, 1)]
+
+
+@pytest.mark.parametrize("broken", ["counts", "records", "marker"])
+def test_a_crash_between_two_writes_changes_nothing(spark, feed, tmp_path, monkeypatch, broken):
+    """The job dies between log and counts, between windows and records, or before a marker, and is run again."""
+    out, clean = str(tmp_path / "out"), str(tmp_path / "clean")
+    place = {"counts": (feeds, "_counts"), "records": (window_job, "tumbling_records"), "marker": (window_job, "commit")}[broken]
+    for s in range(0, 40, 10):
+        feed.seconds(s, s + 10)
+    with monkeypatch.context() as m:
+        m.setattr(*place, None)  # what the job needs next is not there
+        with pytest.raises(Exception):  # noqa: B017
+            run_window_job(spark, str(feed.path), out, flush=True)
+        assert read_windows(spark, out, "tumbling").count() == 0
+        if broken == "counts":
+            assert committed(spark, out, "log") == [] and batch_log(spark, out).count() == 0
+    feed.seconds(40, 57)
+    run_window_job(spark, str(feed.path), out, flush=True)
+    run_window_job(spark, str(feed.path), clean, flush=True)
+    for kind in WINDOWS:
+        assert bag(read_windows(spark, out, kind)) == bag(read_windows(spark, clean, kind)) != Counter()
+    assert batch_log(spark, out).agg(F.sum("total_events")).first()[0] == 57
+    for kind in ("tumbling_windows", "sliding_windows"):
+        assert bag(spark.read.text(f"{out}/{kind}").select("value")) == bag(spark.read.text(f"{clean}/{kind}").select("value"))
+
+
+def test_compaction_is_seen_whole_or_not_at_all(spark, feed, tmp_path, monkeypatch):
+    out, table = str(tmp_path / "out"), "windows/tumbling"
+    for s in range(0, 60, 10):
+        feed.seconds(s, s + 10)
+        run_window_job(spark, str(feed.path), out, flush=s == 50)
+    before = read_windows(spark, out, "tumbling")
+    want = bag(before)
+    with monkeypatch.context() as m:  # dies before its marker
+        m.setattr("tidemill.streaming.commits.commit", None)
+        with pytest.raises(TypeError):
+            compact(spark, out, table, WINDOWS["tumbling"])
+    assert bag(read_windows(spark, out, "tumbling")) == want
+    assert compact(spark, out, table, WINDOWS["tumbling"]) is not None
+    assert committed(spark, out, table) == [] and compact(spark, out, table, WINDOWS["tumbling"]) is None
+    assert bag(before) == bag(read_windows(spark, out, "tumbling")) == want  # a reader that began before, and a new one
+    vacuum(spark, out, table)
+    assert bag(read_windows(spark, out, "tumbling")) == want
+    feed.seconds(60, 75)
+    run_window_job(spark, str(feed.path), out, flush=True)
+    good, _ = split_corrupt(read_feed(spark, str(feed.path)))
+    assert bag(read_windows(spark, out, "tumbling")) == bag(tumbling_totals(good))
+    compact(spark, out, table, WINDOWS["tumbling"])
+    vacuum(spark, out, table)
+    assert bag(read_windows(spark, out, "tumbling")) == bag(tumbling_totals(good))
+
+
+def by_loop(rows, size_s):
+    """Trailing means of (id, user, second, amount) rows, and their anchored windows."""
+    means, windows, current = {}, {}, {}
+    for i, user, t, _ in rows:
+        inside = [a for _, u, s, a in rows if u == user and t - size_s <= s <= t]
+        means[i] = sum(inside) / len(inside)
+    for _, user, t, amount in sorted(rows, key=lambda r: r[2]):
+        if user not in current or t >= current[user] + size_s:
+            current[user] = t
+        n, total = windows.get((user, current[user]), (0, 0.0))
+        windows[user, current[user]] = (n + 1, total + amount)
+    return means, windows
+
+
+def test_ordered_streams_with_disorder_late_rows_and_restart(spark, feed, tmp_path):
+    """Events come out of order within the delay; some later than that; the query is stopped after each batch."""
+    rng, rows = random.Random(4), []
+    late = (5, 6, 60)
+    for first in range(0, 120, 30):
+        batch = [feed.event(s, user_id=rng.choice([1, 1, 2, 3, None]), amount=float(rng.randrange(100))) for s in range(first, first + 30) if s not in late]
+        if first == 90:
+            batch += [feed.event(s, user_id=1, amount=1e6) for s in late]
+        rng.shuffle(batch)
+        feed.add(*batch)
+        rows += [(e["event_id"], e["user_id"], (dt.datetime.fromisoformat(e["timestamp"]) - START).seconds, e["amount"]) for e in batch if e["amount"] < 1e6]
+        trailing = run(spark, trailing_stream(events(spark, feed), 20), tmp_path, "trailing")
+        anchored = run(spark, anchored_stream(events(spark, feed), 20), tmp_path, "anchored")
+    means, windows = by_loop(rows, 20)
+    passed = 119 - 5
+    second = lambda t: (t.astimezone(dt.timezone.utc) - START).total_seconds()
+    assert {r.event_id: r.trailing_avg for r in trailing.collect()} == pytest.approx({i: means[i] for i, _, t, _ in rows if t <= passed})
+    got = {(r.user_id, second(r.window_start)): (r.tx_count, r.total_amount) for r in anchored.collect()}
+    assert got == {k: v for k, v in windows.items() if k[1] + 20 <= passed}
+
+
+def test_files_are_taken_by_name(spark, tmp_path):
+    """Later names have earlier modification times; a folder may be empty or missing; read files may go away."""
+    root, progress = tmp_path / "feed", str(tmp_path / "progress")
+    seen = []
+
+    def take(most=None):
+        stream = stream_named(spark, str(root), progress, max_files=most)
+
+        def write(batch, _):
+            if rows := [(r.file, r.event_id) for r in batch.collect()]:
+                seen.append(sorted(rows, key=repr))
+
+        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", progress).start()
+        query.processAllAvailable()
+        query.stop()
+
+    def add(*numbers):
+        for i in numbers:
+            event = {"event_id": i, "timestamp": START.isoformat(), "category": "food", "amount": 2.0}
+            path = root / f"batch_{i:03d}.jsonl"
+            path.write_text(json.dumps(event) + "\n\n" + "junk\n")
+            os.utime(path, (1_700_000_000 - i,) * 2)
+
+    take()
+    assert seen == []
+    root.mkdir()
+    take()
+    add(7, 3, 5)
+    (root / "other.txt").write_text("x")
+    take(2)
+    names = [[f for f, _ in batch if f] for batch in seen]
+    assert names == [["batch_003.jsonl"] * 2 + ["batch_005.jsonl"] * 2, ["batch_007.jsonl"] * 2]
+    add(4)  # under a name that has been passed
+    for i in (3, 5, 7):
+        (root / f"batch_{i:03d}.jsonl").unlink()
+    take()
+    add(8, 9)
+    take(1)
+    assert [sorted({f for f, _ in batch}) for batch in seen[2:]] == [["batch_008.jsonl"], ["batch_009.jsonl"]]
+    assert [i for batch in seen for _, i in batch if i is not None] == [3, 5, 7, 8, 9]
+
+
+def test_sliding_stream_counts_events_once(spark, feed, tmp_path):
+    for s in range(0, 60, 10):
+        feed.seconds(s, s + 10)
+    query = drain(sliding_stream(events(spark, feed)), str(tmp_path / "s"), str(tmp_path / "p"))
+    panes, windows = query.lastProgress["stateOperators"][-1], query.lastProgress["stateOperators"][0]
+    updated = sum(p["stateOperators"][-1]["numRowsUpdated"] for p in query.recentProgress)
+    assert updated <= 60 and {panes["operatorName"], windows["operatorName"]} == {"stateStoreSave"}
+
+
+def test_open_windows_in_the_state(spark, feed, tmp_path):
+    feed.seconds(0, 33)
+    stream = tumbling_stream(events(spark, feed))
+    run(spark, stream, tmp_path, "w")
+    feed.seconds(33, 47)
+    written = run(spark, stream, tmp_path, "w")
+    held = open_windows(spark, str(tmp_path / "w-progress"))
+    good, _ = split_corrupt(read_feed(spark, str(feed.path)))
+    assert bag(written) + bag(held) == bag(tumbling_totals(good)) and held.count() == 2
+
+
 def test_command_line(spark, feed, tmp_path, capsys):
     feed.seconds(0, 30)
     main(["windows", "--input", str(feed.path), "--output", str(tmp_path / "w"), "--late", "processing-time"])

@@ -34,8 +34,9 @@ def standardised(column: Column, mean: Column, spread: Column) -> Column:
 
 
 def rounded_mean(total: Column, count: Column, digits: int) -> Column:
-    """Exact mean of a decimal sum, rounded once, half away from zero; NULL where there is nothing to average."""
-    twice = F.abs(total) * F.lit(Decimal(2 * 10**digits)) + count
+    """Exact mean of a decimal sum, rounded once, half away from zero; NULL where there is nothing to average, or where
+    the sum is too large for that many digits."""
+    twice = F.try_add(F.try_multiply(F.abs(total), F.lit(Decimal(2 * 10**digits))), count)
     steps = F.call_function("div", twice, F.nullif(2 * count, F.lit(0)).cast("decimal(20, 0)"))
     return F.signum(total) * steps / F.lit(10.0**digits)
 

@@ -12,7 +12,7 @@ from tidemill.operators.aggregates import (
 from tidemill.operators.anchored import anchored_tumbling
 from tidemill.operators.features import with_indicators, with_interactions, with_log_features, with_time_features
 from tidemill.operators.joins import attach_by_key, skip_processed
-from tidemill.operators.percentiles import approx_percentiles, exact_percentiles
+from tidemill.operators.percentiles import approx_percentiles, exact_percentiles, merged_percentiles, percentile_sketches
 from tidemill.operators.quality import drop_late, drop_replays, flag_late, split_corrupt
 from tidemill.operators.windows import (
     sliding_average,
@@ -32,7 +32,9 @@ __all__ = [
     "exact_percentiles",
     "flag_late",
     "lateness_summary",
+    "merged_percentiles",
     "moments",
+    "percentile_sketches",
     "row_count",
     "skip_processed",
     "sliding_average",

@@ -24,6 +24,31 @@ def approx_percentiles(
     return picked.select(*keys, *[F.col("_p")[i].alias(_label(p)) for i, p in enumerate(percents)])
 
 
+def percentile_sketches(
+    df: DataFrame, value: str, keys: Sequence[str] = (), k: int = 800, name: str = "sketch", count: str = "n"
+) -> DataFrame:
+    """A KLL sketch of the non-NULL values of each group and their number: a few kilobytes, whatever the group's size.
+
+    Sketches can be stored, and merged with others at any time (``merged_percentiles``), so percentiles over many windows or
+    runs need no second look at the rows. The rank of a percentile errs by about 2.3 / k^0.9 (0.6 % for 800) with a
+    probability of 99 %, however many sketches are merged.
+    """
+    values = F.col(value).cast("double")
+    return df.groupBy(*keys).agg(F.kll_sketch_agg_double(values, k).alias(name), F.count(values).alias(count))
+
+
+def merged_percentiles(
+    sketches: DataFrame, percents: Sequence[float] = (50, 95, 99), keys: Sequence[str] = (), k: int = 800, name: str = "sketch", count: str = "n"
+) -> DataFrame:
+    """Percentiles of the values behind all sketches of a group; each is a value that occurs, NULL if there are none."""
+    some = F.when(F.col(count) > 0, F.col(name))
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double(some, k).alias("_s"), F.sum(count).alias(count))
+    found = [
+        F.when(F.col(count) > 0, F.kll_sketch_get_quantile_double("_s", F.lit(p / 100))).alias(_label(p)) for p in percents
+    ]
+    return merged.select(*keys, count, *found)
+
+
 def _renamed(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(f"_of_{c}") for c in columns]
 

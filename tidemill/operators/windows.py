@@ -6,6 +6,7 @@ order in which events arrive. They work on tables and, behind a watermark, on st
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,19 +47,26 @@ def sliding_average(
     """Mean amount per window and key; an event counts in each of the ``size_s / slide_s`` windows over it.
 
     Amounts count to six decimal places and are added up exactly, so the mean is rounded once and does not depend on
-    the order of the rows. On a table, events are first added up per slide, and only those sums are copied into the
-    windows. On a stream, or if the slide does not divide the size, Spark copies the events themselves.
+    the order of the rows. Amounts that no decimal can hold (NaN, infinite, 10^22 and more) count as missing: they are
+    in neither the sum nor the count. Events are first
+    added up per slide, and only those sums are copied into the windows. On a stream these are two aggregates in a row: the
+    second takes the panes that the watermark has closed in the first, each at its ``window_time``. If the slide does not
+    divide the size, Spark copies the events themselves.
     """
-    exact = F.col(amount).cast(EXACT)
-    if df.isStreaming or size_s % slide_s:
+    exact = F.col(amount).try_cast(EXACT)
+    if size_s % slide_s:
         windowed = df.groupBy(F.window(ts, _duration(size_s), _duration(slide_s)).alias("_w"), key).agg(
-            F.sum(exact).alias("_sum"), F.count(amount).alias("_count")
+            F.try_sum(exact).alias("_sum"), F.count(exact).alias("_count")
         )
         start, end = F.col("_w.start"), F.col("_w.end")
     else:
         panes = df.groupBy(F.window(ts, _duration(slide_s)).alias("_pane"), key).agg(
-            F.sum(exact).alias("_sum"), F.count(amount).alias("_count")
+            F.try_sum(exact).alias("_sum"), F.count(exact).alias("_count")
         )
+        if df.isStreaming:
+            windows = F.window(F.window_time("_pane"), _duration(size_s), _duration(slide_s)).alias("_w")
+            windowed = panes.groupBy(windows, key).agg(F.try_sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+            return _means(windowed, F.col("_w.start"), F.col("_w.end"), key, digits)
         back = F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))).alias("_back")
         windowed = (
             panes.select("*", back)
@@ -69,13 +77,16 @@ def sliding_average(
                 "_count",
             )
             .groupBy("_start", key)
-            .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+            .agg(F.try_sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
         )
         start = F.col("_start")
         end = start + F.make_dt_interval(secs=F.lit(size_s))
-    return windowed.select(
-        start.alias("window_start"), end.alias("window_end"), key, rounded_mean(F.col("_sum"), F.col("_count"), digits).alias("avg_amount")
-    )
+    return _means(windowed, start, end, key, digits)
+
+
+def _means(windowed: DataFrame, start: Column, end: Column, key: str, digits: int) -> DataFrame:
+    mean = rounded_mean(F.col("_sum"), F.col("_count"), digits)
+    return windowed.select(start.alias("window_start"), end.alias("window_end"), key, mean.alias("avg_amount"))
 
 
 def trailing_average(
@@ -157,16 +168,23 @@ def window_record(
     name: str = "aggregates",
     by: Sequence[str] = ("window_start", "window_end"),
     no_key: str = "(none)",
+    most_keys: int = 100_000,
 ) -> DataFrame:
     """One row per window with a map from key to its aggregates (a struct, or a plain value if only one).
 
-    The input has one row per window and key, so a map has as many entries as there are keys. A map cannot hold a NULL
-    key: its aggregates stand under ``no_key``, which must not be a key itself.
+    The input has one row per window and key. A window of more than ``most_keys`` keys gets several rows, of so many keys
+    each in their order, so that no row grows without bound. A map cannot hold a NULL key: its aggregates stand under
+    ``no_key``. A key of that name gets a prime behind it, as does one that already has primes there, so that names stay
+    different whatever the keys are.
     """
     value = F.col(values[0]) if len(values) == 1 else F.struct(*values)
-    named = F.coalesce(F.col(key).cast("string"), F.lit(no_key))
-    entries = F.array_sort(F.collect_list(F.struct(named.alias("key"), value.alias("value"))))
-    return windowed.groupBy(*by).agg(F.map_from_entries(entries).alias(name))
+    text = F.col(key).cast("string")
+    unlike = F.when(text.rlike(f"^{re.escape(no_key)}'*\\z"), F.concat(text, F.lit("'"))).otherwise(text)
+    named = F.coalesce(unlike, F.lit(no_key))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_named"))
+    parts = windowed.withColumn("_named", named).withColumn("_part", F.floor((place - 1) / most_keys))
+    entries = F.array_sort(F.collect_list(F.struct(F.col("_named").alias("key"), value.alias("value"))))
+    return parts.groupBy(*by, "_part").agg(F.map_from_entries(entries).alias(name)).drop("_part")
 
 
 def window_pivot(

@@ -5,6 +5,7 @@ Doubles are rounded where results are compared between engines, as sums depend o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,7 +22,9 @@ from tidemill.operators import (
     exact_percentiles,
     flag_late,
     lateness_summary,
+    merged_percentiles,
     moments,
+    percentile_sketches,
     row_count,
     skip_processed,
     sliding_average,
@@ -37,7 +40,7 @@ from tidemill.operators import (
     with_time_features,
     with_zscores,
 )
-from tidemill.plans.features import LOGGED, NORMALISED, feature_table, with_flags
+from tidemill.plans.features import LOGGED, NORMALISED, bucketed_features, feature_table, with_flags
 from tidemill.plans.views import (
     EVENT_TYPES,
     PRIORITIES,
@@ -47,9 +50,32 @@ from tidemill.plans.views import (
     order_transactions,
     table,
 )
-from tidemill.plans.windows import run_window_job
-from tidemill.sources import EVENT, feed_lines, is_blank, read_dated, read_feed, scratch_path, staged, stream_feed, write_dated
-from tidemill.streaming import batch_log, deduplicated_stream, drain, sliding_stream, tumbling_stream
+from tidemill.plans.windows import read_windows, run_window_job
+from tidemill.sources import (
+    EVENT,
+    feed_lines,
+    is_blank,
+    read_dated,
+    read_feed,
+    read_transactions,
+    scratch_path,
+    staged,
+    stream_feed,
+    stream_named,
+    write_bucketed,
+    write_dated,
+    write_table,
+)
+from tidemill.streaming import (
+    anchored_stream,
+    batch_log,
+    deduplicated_stream,
+    drain,
+    open_windows,
+    sliding_stream,
+    trailing_stream,
+    tumbling_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,7 +200,7 @@ def trailing_avg_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def anchored_tumbling_by_user(spark: SparkSession, sf: str) -> DataFrame:
-    windows = anchored_tumbling(event_transactions(spark, sf), size_s=6 * HOUR, windows_per_segment=28)
+    windows = anchored_tumbling(event_transactions(spark, sf), size_s=6 * HOUR, rows_per_segment=1024)
     return _rounded(windows, 2, "total_amount")
 
 
@@ -326,7 +352,7 @@ def _window_job(spark: SparkSession, sf: str, arrival: Column | None = None) ->
 
 def stream_restart_windows(spark: SparkSession, sf: str) -> DataFrame:
     """All windows of a feed that was read in parts and then finished."""
-    rows = spark.read.parquet(f"{_window_job(spark, sf)}/windows/tumbling").drop("batch")
+    rows = read_windows(spark, _window_job(spark, sf), "tumbling")
     return _rounded(_zoneless(rows, "window_start", "window_end"), 2, "total_amount")
 
 
@@ -338,7 +364,7 @@ def stream_late_accounting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feed_conservation(spark: SparkSession, sf: str) -> DataFrame:
-    """What becomes of each line of a feed with blank, tab, doubled, trailed and timeless lines among good ones."""
+    """What becomes of each line of a feed with blank, tab, doubled, trailed and timeless lines, and amounts that are none, among good ones."""
     events = event_transactions(spark, sf).withColumnRenamed("transaction_id", "event_id")
     kind = F.pmod("event_id", F.lit(10))
     value = F.col("value")
@@ -348,6 +374,8 @@ def feed_conservation(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == 2, F.concat(value, F.lit(" "), value))
         .when(kind == 3, F.concat(value, F.lit(" junk")))
         .when(kind == 4, F.regexp_replace(value, '"timestamp":"[^"]*",', ""))
+        .when(kind == 5, F.regexp_replace(value, '"amount":[^,]*', '"amount":1e30'))
+        .when(kind == 6, F.regexp_replace(value, '"amount":[^,]*', '"amount":NaN'))
         .otherwise(value)
     )
     lines = events.withColumn("timestamp", iso_text(F.col("timestamp")))
@@ -361,6 +389,115 @@ def feed_conservation(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, one)
 
 
+def stream_anchored_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows anchored at events, of a feed read in parts: those whose end the watermark has passed."""
+    parts = _slices(event_transactions(spark, sf))
+    windows = _drained_in_parts(spark, lambda events: anchored_stream(events, size_s=6 * HOUR), parts)
+    return _rounded(_zoneless(windows, "window_start"), 2, "total_amount")
+
+
+def stream_trailing_avg(spark: SparkSession, sf: str) -> DataFrame:
+    """Trailing averages of a feed read in parts, of which some events come two parts late and are dropped."""
+    parts = _slices(event_transactions(spark, sf))
+    late = F.pmod("transaction_id", F.lit(50)) == 0
+    sent = [parts[0].where(~late), parts[1], parts[2].unionByName(parts[0].where(late))]
+    rows = _drained_in_parts(spark, lambda events: trailing_stream(events, size_s=3 * HOUR), sent)
+    return _rounded(_zoneless(rows, "timestamp"), 4, "trailing_avg")
+
+
+def stream_open_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """What the state of a windowed query holds after two of three parts of its feed, the second after a restart."""
+    feed, path, progress = (scratch_path(spark, name) for name in ("feed", "sink", "progress"))
+    for part in _slices(event_transactions(spark, sf))[:2]:
+        feed_lines(part.withColumnRenamed("transaction_id", "event_id")).write.mode("append").text(feed)
+        drain(tumbling_stream(split_corrupt(stream_feed(spark, feed, EVENT, _STAGED))[0], size_s=HOUR), path, progress)
+    return _rounded(_zoneless(open_windows(spark, progress), "window_start", "window_end"), 2, "total_amount")
+
+
+def _named_files(spark: SparkSession, lines: DataFrame, path: str) -> None:
+    """One file for each ``name``, the last name first and with modification times that fall with the name."""
+    by_name = scratch_path(spark, "by-name")
+    lines.repartition("name").write.partitionBy("name").text(by_name)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(by_name).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(hadoop.Path(path))
+    folders = [s.getPath() for s in fs.listStatus(hadoop.Path(by_name)) if s.isDirectory()]
+    for place, folder in enumerate(sorted(folders, key=lambda f: f.getName(), reverse=True)):
+        part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+        target = hadoop.Path(f"{path}/{folder.getName().removeprefix('name=')}")
+        fs.rename(part, target)
+        fs.setTimes(target, 1_700_000_000_000 + 1000 * place, -1)
+
+
+def stream_name_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each file of a feed its events, and how many files the micro-batches before its own had: five each, by name.
+
+    The feed has a file for each day, older the later the day. Ten are there at first; the others come before a restart.
+    """
+    feed, out, progress = (scratch_path(spark, name) for name in ("feed", "out", "progress"))
+    events = event_transactions(spark, sf).withColumnRenamed("transaction_id", "event_id")
+    name = F.date_format("timestamp", "'batch_'yyyyMMdd'.jsonl'")
+    lines = staged(events.select(name.alias("name"), F.to_json(F.struct(*[c if c != "timestamp" else iso_text(F.col(c)).alias(c) for c in events.columns])).alias("value")), "lines")
+    tenth = [r[0] for r in lines.select("name").distinct().orderBy("name").limit(10).collect()][-1]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.groupBy("file").agg(F.count(F.lit(1)).alias("events")).withColumn("number", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
+
+    for days in (lines.where(F.col("name") <= tenth), lines.where(F.col("name") > tenth)):
+        _named_files(spark, days, feed)
+        stream = split_corrupt(stream_named(spark, feed, progress, max_files=5))[0]
+        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", progress).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    seen = spark.read.schema("file string, events long, number int").parquet(out)
+    before = seen.alias("a").join(seen.select(F.col("number").alias("earlier")), F.col("earlier") < F.col("number"), "left")
+    return before.groupBy("file", "events").agg(F.count("earlier").alias("files_before"))
+
+
+def merged_percentile_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether percentiles from sketches, stored for each day and merged, keep to 1 % of rank."""
+    percents = (50, 95, 99)
+    rows = staged(order_transactions(spark, sf).select("category", "timestamp", "amount"), "orders")
+    daily = staged(percentile_sketches(rows, "amount", ["category", "timestamp"]), "sketches")
+    found = merged_percentiles(daily, percents, ["category"])
+    known = rows.join(F.broadcast(found), "category")  # a row for each category
+    sums = [F.sum((F.col("amount") < F.col(f"p{p}")).cast("long")).alias(f"below{p}") for p in percents]
+    sums += [F.sum((F.col("amount") <= F.col(f"p{p}")).cast("long")).alias(f"upto{p}") for p in percents]
+    counted = known.groupBy("category", "n").agg(*sums)
+    slack = F.col("n") / 100 + 1
+    within = [((F.col(f"below{p}") <= F.col("n") * p / 100 + slack) & (F.col(f"upto{p}") >= F.col("n") * p / 100 - slack)).alias(f"p{p}_within") for p in percents]
+    return counted.select("category", "n", *within)
+
+
+def bucketed_user_features(spark: SparkSession, sf: str) -> DataFrame:
+    """User features from a table that is bucketed by user: neither the aggregate nor the join shuffles it again."""
+    used = ("transaction_id", "user_id", "amount", "items_in_cart", "is_returned", "session_duration")
+    name = f"transactions_{uuid.uuid4().hex}"
+    write_bucketed(order_transactions(spark, sf).select(*used), name, buckets=8, path=scratch_path(spark, "bucketed"))
+    rows = bucketed_features(spark.table(name))
+    return _user_features_rounded(rows).select("transaction_id", "user_id", "amount", "items_in_cart", *USER_FEATURES)
+
+
+def repartitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written, read again dealt into seven partitions, and counted by category over those that have rows."""
+    path = scratch_path(spark, "table")
+    write_table(event_transactions(spark, sf), path)
+    rows = read_transactions(spark, path, 7, schema=event_transactions(spark, sf).schema).withColumn("part", F.spark_partition_id())
+    by = rows.groupBy("category").agg(F.count(F.lit(1)).alias("tx_count"), F.countDistinct("part").alias("partitions"))
+    return by
+
+
+def overwritten_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that was written and then written over with the rows of one category less."""
+    path = scratch_path(spark, "table")
+    events = event_transactions(spark, sf)
+    write_table(events, path)
+    write_table(events.where(F.col("category") != "error"), path)
+    return read_transactions(spark, path, schema=events.schema).select("transaction_id", "category", "amount", "timestamp")
+
+
 def _damaged_feed(spark: SparkSession, sf: str) -> DataFrame:
     """A feed whose error events were cut off in the middle of their line."""
     events = event_transactions(spark, sf).withColumnRenamed("transaction_id", "event_id")
@@ -417,4 +554,12 @@ QUERIES: dict[str, Query] = {
     "stream_late_accounting": stream_late_accounting,
     "feed_conservation": feed_conservation,
     "corrupt_lines_kept_apart": corrupt_lines_kept_apart,
+    "stream_anchored_windows": stream_anchored_windows,
+    "stream_trailing_avg": stream_trailing_avg,
+    "stream_open_windows": stream_open_windows,
+    "stream_name_order": stream_name_order,
+    "merged_percentile_sketches": merged_percentile_sketches,
+    "bucketed_user_features": bucketed_user_features,
+    "repartitioned_scan": repartitioned_scan,
+    "overwritten_table": overwritten_table,
 }

@@ -128,6 +128,15 @@ _CLOSED = '(SELECT max("timestamp") - INTERVAL 5 SECOND FROM tx)'
 _PERCENTS = (1, 25, 50, 75, 95, 99)
 
 
+#: The third of the feed's time that an event lies in.
+_PLACED = """
+placed AS (
+  SELECT *, (epoch_us("timestamp") - (SELECT min(epoch_us("timestamp")) FROM tx)) * 3
+            // (SELECT max(epoch_us("timestamp")) - min(epoch_us("timestamp")) + 1 FROM tx) AS place
+  FROM tx
+)"""
+
+
 def _anchored() -> str:
     return f"""WITH RECURSIVE {_TX_EVENTS},
 points AS (SELECT DISTINCT user_id, "timestamp" AS t FROM tx),
@@ -236,12 +245,33 @@ SELECT count(*) AS total_events, count(*) FILTER (is_late) AS late_events, 0::BI
     "feed_conservation": """
 SELECT 'lines' AS outcome, count(*) AS line_count FROM events
 UNION ALL SELECT 'blank', count(*) FROM events WHERE event_id % 10 IN (0, 1)
-UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 10 IN (2, 3, 4)
-UNION ALL SELECT 'good', count(*) FROM events WHERE event_id % 10 > 4""",
+UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 10 IN (2, 3, 4, 5, 6)
+UNION ALL SELECT 'good', count(*) FROM events WHERE event_id % 10 > 6""",
     "corrupt_lines_kept_apart": f"""WITH {_TX_EVENTS}
 SELECT CASE WHEN category = 'error' THEN '(rejected)' ELSE category END AS category, count(*) AS line_count,
        {_r("sum(CASE WHEN category <> 'error' THEN amount END)", 2, "total_amount")}
 FROM tx GROUP BY 1""",
 }
 
+ORACLE["stream_anchored_windows"] = f"SELECT * FROM ({_anchored()}) WHERE window_start + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 5 SECOND FROM events)"
+ORACLE["stream_trailing_avg"] = f"""WITH {_TX_EVENTS}, {_PLACED}
+SELECT event_id, user_id, "timestamp", {_r("mean", 4, "trailing_avg")}
+FROM (SELECT transaction_id AS event_id, user_id, "timestamp", avg(amount) OVER (PARTITION BY user_id ORDER BY "timestamp"
+             RANGE BETWEEN INTERVAL 3 HOUR PRECEDING AND CURRENT ROW) AS mean
+      FROM placed WHERE place > 0 OR transaction_id % 50 <> 0)
+WHERE "timestamp" <= {_CLOSED}"""
+ORACLE["stream_open_windows"] = f"""WITH {_TX_EVENTS}, {_PLACED}
+SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS window_start,
+       time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS window_end,
+       category, count(*) AS tx_count, {_r("sum(amount)", 2, "total_amount")}
+FROM placed WHERE place < 2 GROUP BY 1, 2, 3
+HAVING window_end > (SELECT max("timestamp") - INTERVAL 5 SECOND FROM placed WHERE place < 2)"""
+ORACLE["stream_name_order"] = f"""WITH {_TX_EVENTS}
+SELECT strftime("timestamp", 'batch_%Y%m%d.jsonl') AS file, count(*) AS events,
+       CAST((row_number() OVER (ORDER BY strftime("timestamp", 'batch_%Y%m%d.jsonl')) - 1) // 5 * 5 AS BIGINT) AS files_before
+FROM tx GROUP BY 1"""
+ORACLE["merged_percentile_sketches"] = ORACLE["approx_amount_percentiles"]
+ORACLE["bucketed_user_features"] = ORACLE["user_aggregations"]
+ORACLE["repartitioned_scan"] = f"WITH {_TX_EVENTS} SELECT category, count(*) AS tx_count, 7::BIGINT AS partitions FROM tx GROUP BY category"
+ORACLE["overwritten_table"] = f"""WITH {_TX_EVENTS} SELECT transaction_id, category, amount, "timestamp" FROM tx WHERE category <> 'error'"""
 ORACLE["divided_percentiles"] = ORACLE["amount_percentiles"]

@@ -10,11 +10,34 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.functions import iso_text
 from tidemill.operators import sliding_average, tumbling_totals, window_record
-from tidemill.sources import EVENT, FEED_FILES, delete_path, stream_feed
-from tidemill.streaming import batch_log, ingest, last_batch, latency_report, logged_schema, sliding_stream, tumbling_stream
+from tidemill.sources import EVENT, FEED_FILES, delete_path, make_folder, stream_feed
+from tidemill.streaming import (
+    OPEN,
+    batch_log,
+    commit,
+    ingest,
+    last_batch,
+    latency_report,
+    logged_schema,
+    read_committed,
+    sliding_stream,
+    tumbling_stream,
+    withdraw,
+)
 
 WATERMARK, PROCESSING_TIME = "watermark", "processing-time"
 
+#: Of the rows that the job writes for closed windows.
+WINDOWS = {
+    "tumbling": "window_start timestamp, window_end timestamp, category string, tx_count long, total_amount double",
+    "sliding": "window_start timestamp, window_end timestamp, region string, avg_amount double",
+}
+
+
+def read_windows(spark: SparkSession, output: str, kind: str) -> DataFrame:
+    """The windows of a kind that the job has written, of whole micro-batches only."""
+    return read_committed(spark, output, f"windows/{kind}", WINDOWS[kind])
+
 
 # The field names of the published window records.
 
@@ -42,20 +65,26 @@ def _logged_events(reader, output: str) -> DataFrame:
     return rows.where(F.col("outcome") == "good").select(*EVENT.names)
 
 
+def _write(windows: DataFrame, output: str, kind: str, batch: int | str, records: Callable[[DataFrame], DataFrame]) -> None:
+    """One folder of windows, as rows and as records. They count when both are whole."""
+    spark, tables = windows.sparkSession, (f"windows/{kind}", f"{kind}_windows")
+    for table in tables:
+        withdraw(spark, output, table, batch)
+    path = f"{output}/{tables[0]}/batch={batch}"
+    windows.write.mode("overwrite").parquet(path)
+    records(spark.read.schema(windows.schema).parquet(path)).write.mode("overwrite").json(f"{output}/{tables[1]}/batch={batch}")
+    for table in tables:
+        commit(spark, output, table, batch)
+
+
 def _emit(stream: DataFrame, output: str, kind: str, records: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     """Write the windows that close, as rows and as records, in one folder for each micro-batch.
 
     A window closes in one micro-batch, with all its keys, so records are whole and nothing written is touched again.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        path = f"{output}/windows/{kind}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        closed = batch.sparkSession.read.schema(batch.schema).parquet(path)
-        records(closed).write.mode("overwrite").json(f"{output}/{kind}_windows/batch={batch_id}")
-
     return (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(lambda batch, batch_id: _write(batch, output, kind, batch_id, records))
         .outputMode("append")
         .option("checkpointLocation", f"{output}/progress/{kind}")
         .trigger(availableNow=True)
@@ -63,22 +92,18 @@ def _emit(stream: DataFrame, output: str, kind: str, records: Callable[[DataFram
     )
 
 
-_FLUSHED = "batch=999999999999"
+def _flush(spark: SparkSession, output: str, kind: str, windows: Callable[[DataFrame], DataFrame], reach_s: int, watermark_s: float, records) -> None:
+    """Write the windows that are still open: those that the watermark has not passed.
 
-
-def _flush(spark: SparkSession, output: str, kind: str, stream: DataFrame, windows: Callable[[DataFrame], DataFrame], reach_s: int, records) -> None:
-    """Write the windows that are still open: those of the logged events that end after the last closed one."""
-    closed = spark.read.schema(stream.schema).parquet(f"{output}/windows/{kind}")
-    end = closed.agg(F.max("window_end")).first()[0]
+    No event of such a window was ever late, so it has all the logged ones. A window that it has passed is not made again,
+    whether it was written or, as all its events came too late, was not.
+    """
     events = _logged_events(spark.read, output)
-    if end is not None:
-        events = events.where(F.col("timestamp") >= F.lit(end) - F.make_dt_interval(secs=F.lit(reach_s)))
-    rest = windows(events)
-    if end is not None:
-        rest = rest.where(F.col("window_end") > F.lit(end))
-    rest.write.mode("overwrite").parquet(f"{output}/windows/{kind}/{_FLUSHED}")
-    written = spark.read.schema(stream.schema).parquet(f"{output}/windows/{kind}/{_FLUSHED}")
-    records(written).write.mode("overwrite").json(f"{output}/{kind}_windows/{_FLUSHED}")
+    latest = events.agg(F.max(F.unix_millis("timestamp"))).first()[0]  # the watermark counts whole milliseconds
+    if latest is not None:
+        passed = F.timestamp_millis(F.lit(latest - round(watermark_s * 1000)))
+        near = events.where(F.col("timestamp") >= passed - F.make_dt_interval(secs=F.lit(reach_s)))
+        _write(windows(near).where(F.col("window_end") > passed), output, kind, OPEN, records)
 
 
 def run_window_job(
@@ -100,7 +125,9 @@ def run_window_job(
     windows that were open. Both kinds of windows, tumbling and sliding (three times the size, one slide for each tumbling
     window), are made from the same logged events. ``windows/<kind>/`` gets one row for each closed window and key, and
     ``<kind>_windows/`` one JSON record for each closed window, in a new folder for each micro-batch; what earlier runs
-    wrote is not read. ``latency_report/`` is written anew.
+    wrote is not read. ``latency_report/`` is written anew. A folder counts once its marker is written (see
+    ``read_windows``, ``compact``). A feed that has no files yet, or only blank lines, gives an empty report; its folder is made
+    if it does not exist.
 
     A window is closed once the watermark, ``watermark_s`` behind the latest event, has passed its end. With ``flush``,
     for a feed that is finished, the windows still open are written as well; a later run takes them back first.
@@ -108,9 +135,13 @@ def run_window_job(
     events are counted either way.
     """
     size_s, slide_s = 3 * window_s, window_s
-    for kind in ("tumbling", "sliding"):
-        delete_path(spark, f"{output}/windows/{kind}/{_FLUSHED}")
-        delete_path(spark, f"{output}/{kind}_windows/{_FLUSHED}")
+    for kind in WINDOWS:
+        for table in (f"windows/{kind}", f"{kind}_windows"):
+            withdraw(spark, output, table, OPEN)
+            delete_path(spark, f"{output}/{table}/batch={OPEN}")
+            make_folder(spark, f"{output}/{table}")
+    for path in (feed, f"{output}/log"):
+        make_folder(spark, path)
     before = last_batch(spark, output)
     lines = stream_feed(spark, feed, files=files, max_files=max_files)
     ingest(lines, output, watermark_s, late == PROCESSING_TIME, arrival).awaitTermination()
@@ -120,7 +151,7 @@ def run_window_job(
         "tumbling": (
             tumbling_stream(events, window_s, watermark_s),
             lambda rows: tumbling_totals(rows, size_s=window_s),
-            0,
+            window_s,
             lambda rows: tumbling_records(rows, window_s),
         ),
         "sliding": (
@@ -138,8 +169,8 @@ def run_window_job(
         for query in running:
             query.stop()
     if flush:
-        for kind, (stream, windows, reach_s, records) in kinds.items():
-            _flush(spark, output, kind, stream, windows, reach_s, records)
+        for kind, (_, windows, reach_s, records) in kinds.items():
+            _flush(spark, output, kind, windows, reach_s, watermark_s, records)
     report = latency_report(batch_log(spark, output, before))
     report.write.mode("overwrite").json(f"{output}/latency_report")
     return report

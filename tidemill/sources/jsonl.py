@@ -20,6 +20,9 @@ FEED_FILES = "batch_*.jsonl"
 # What an event cannot be without.
 REQUIRED = ("event_id", "timestamp", "category", "amount")
 
+#: Amounts from here on are taken for errors. Sums of smaller ones stay exact for 10^14 events.
+LARGEST = 1e15
+
 _EVENT, _END = "_event_of_line", "_end_of_line"
 
 
@@ -28,12 +31,19 @@ def is_blank(line: str = "value") -> Column:
     return ~F.col(line).rlike(r"\S")
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType = EVENT, required: Sequence[str] = REQUIRED) -> DataFrame:
+def parse_lines(
+    lines: DataFrame,
+    schema: T.StructType = EVENT,
+    required: Sequence[str] = REQUIRED,
+    largest: float = LARGEST,
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Events from lines of JSON. Each line that is not blank gives one row: an event, or a reject, which has the whole
-    line in ``_corrupt_record``.
+    line in ``_corrupt_record``. ``keep`` names other columns of the lines that stay.
 
-    Rejected are lines that are not one JSON object, with nothing after it, of values that fit the schema, and those
-    that lack one of the ``required`` fields. Spark's parser ends at the first complete value, so the line is made a field
+    Rejected are lines that are not one JSON object, with nothing after it, of values that fit the schema, those that
+    lack one of the ``required`` fields, and those with a floating-point number that is none, infinite, or ``largest`` or
+    more from zero: it would spoil every sum it is part of. Spark's parser ends at the first complete value, so the line is made a field
     of an object with another one behind it: what follows the event in its line then breaks the whole.
     """
     whole = T.StructType([
@@ -43,14 +53,17 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT, required: Sequen
     ])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     wrapped = F.concat(F.lit(f'{{"{_EVENT}":'), F.col("value"), F.lit(f',"{_END}":1}}'))
-    parsed = lines.where(~is_blank()).select("value", F.from_json(wrapped, whole, options).alias("_line"))
+    parsed = lines.where(~is_blank()).select("value", *keep, F.from_json(wrapped, whole, options).alias("_line"))
     event = F.col("_line").getField(_EVENT)
     present = [event.getField(c).isNotNull() for c in required if c in schema.names]
+    numbers = [event.getField(f.name) for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    present += [F.coalesce(F.abs(n) < F.lit(largest), n.isNull()) for n in numbers]  # NaN is larger than any number
     sound = reduce(and_, present, F.col("_line").getField(CORRUPT).isNull() & (F.col("_line").getField(_END) == 1) & event.isNotNull())
     sound = F.coalesce(sound, F.lit(False))
     return parsed.select(
         *[F.when(sound, event.getField(c)).alias(c) for c in schema.names],
         F.when(~sound, F.col("value")).alias(CORRUPT),
+        *keep,
     )
 
 

@@ -29,6 +29,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, wherever Spark can write, unless it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(target)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables made so far; frames that read them cannot be used any more."""
     while _made:

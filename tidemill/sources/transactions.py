@@ -60,6 +60,16 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, by: str = "user_id", buckets: int = 200, path: str | None = None) -> None:
+    """The rows as a table of the session's catalog, dealt into ``buckets`` by a hash of a column and sorted by it there.
+
+    Aggregates by that column, and joins on it with tables that have as many buckets, then need no shuffle: the one made
+    here serves all later runs. Rows are first gathered by bucket, so that each has one file.
+    """
+    writer = df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def write_dated(df: DataFrame, path: str, ts: str = "timestamp", date: str = "event_date") -> None:
     """Parquet with one directory per day, so that a date filter reads only its days.
 

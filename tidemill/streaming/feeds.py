@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.operators import sliding_average, tumbling_totals
 from tidemill.operators.quality import CORRUPT, is_late
+from tidemill.streaming.commits import commit, withdraw
+from tidemill.streaming.reports import BATCHES
 
 DELAY_S = 5.0
 
@@ -25,6 +27,15 @@ def accepted(arrival_late: bool) -> Column:
     return F.when(F.col(CORRUPT).isNotNull(), "rejected").when(late, "late").otherwise("good")
 
 
+def _counts(log: DataFrame) -> DataFrame:
+    event = F.col("outcome") != "rejected"
+    return log.agg(
+        F.count_if(event).alias("total_events"),
+        F.count_if(event & F.col("is_late")).alias("late_events"),
+        F.count_if(~event).alias("rejected_lines"),
+    )
+
+
 def ingest(
     events: DataFrame,
     output: str,
@@ -36,7 +47,8 @@ def ingest(
     """Write a parsed feed to ``output``: each event once, with its lateness decided once, whatever reads it later.
 
     ``log/batch=<n>/outcome=<good, late or rejected>`` holds the rows of micro-batch n, and ``batches/batch=<n>`` one row
-    about it, counted from what was written. A micro-batch that is run again after a failure writes both anew. Without
+    about it, counted from what was written. Both count once their marker is there. A micro-batch that is run again after a
+    failure writes both anew. Without
     ``arrival`` an event arrives when its micro-batch begins. Handles what is there, then ends.
     """
 
@@ -45,17 +57,17 @@ def ingest(
         now = F.lit(begun) if arrival is None else arrival
         rows = batch.withColumn("is_late", is_late(ts, now, tolerance_s)).withColumn("outcome", accepted(drop_late))
         path = f"{output}/log/batch={batch_id}"
+        for table in ("log", BATCHES):
+            withdraw(batch.sparkSession, output, table, batch_id)
         rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
-        written = batch.sparkSession.read.schema(rows.schema).parquet(path)
-        event = F.col("outcome") != "rejected"
-        done = written.agg(
-            F.count_if(event).alias("total_events"),
-            F.count_if(event & F.col("is_late")).alias("late_events"),
-            F.count_if(~event).alias("rejected_lines"),
-        )
+        spark = batch.sparkSession
+        written = spark.read.schema(rows.schema).parquet(path)
+        done = _counts(written)
         seconds = (dt.datetime.now(dt.timezone.utc) - begun).total_seconds()
-        done = done.withColumns({"started": F.lit(begun), "latency_ms": F.lit(1000 * seconds)})
-        done.write.mode("overwrite").parquet(f"{output}/batches/batch={batch_id}")
+        done = done.withColumns({"started": F.lit(begun), "latency_ms": F.lit(1000 * seconds), "batch": F.lit(batch_id).cast("long")})
+        done.write.mode("overwrite").parquet(f"{output}/{BATCHES}/batch={batch_id}")
+        for table in ("log", BATCHES):
+            commit(spark, output, table, batch_id)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -90,6 +102,20 @@ def sliding_stream(
     return sliding_average(watermarked(events, ts, delay_s), size_s=size_s, slide_s=slide_s, **columns)
 
 
+def open_windows(spark: SparkSession, progress: str, key: str = "category") -> DataFrame:
+    """The windows that a query of ``tumbling_stream`` holds in its state, as its checkpoint has them: those not yet written."""
+    held = spark.read.format("statestore").load(progress).where(F.col("key").isNotNull())
+    window, named = held.schema["key"].dataType.names  # Spark's own names
+    count, total = held.schema["value"].dataType.names
+    return held.select(
+        F.col("key").getField(window).getField("start").alias("window_start"),
+        F.col("key").getField(window).getField("end").alias("window_end"),
+        F.col("key").getField(named).alias(key),
+        F.col("value").getField(count).alias("tx_count"),
+        F.col("value").getField(total).alias("total_amount"),
+    )
+
+
 def deduplicated_stream(
     events: DataFrame, event_id: str = "event_id", ts: str = "timestamp", delay_s: float = DELAY_S
 ) -> DataFrame:

@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import ratio
 from tidemill.operators import exact_percentiles
+from tidemill.streaming.commits import committed, read_committed
 
 _SCHEMA = "total_events long, late_events long, rejected_lines long, started timestamp, latency_ms double, batch long"
+BATCHES = "batches"
 
 
 def batch_log(spark: SparkSession, output: str, after: int = -1) -> DataFrame:
     """One row for each micro-batch that ``ingest`` wrote to ``output``, later than number ``after``. None is forgotten."""
-    return spark.read.schema(_SCHEMA).parquet(f"{output}/batches").where(F.col("batch") > after)
+    return read_committed(spark, output, BATCHES, _SCHEMA).where(F.col("batch") > after)
 
 
 def last_batch(spark: SparkSession, output: str) -> int:
     """Number of the last micro-batch in the log; -1 before the first."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{output}/batches")
-    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
-        return -1
-    return batch_log(spark, output).agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0]
+    return max(committed(spark, output, BATCHES), default=-1)
 
 
 def latency_report(log: DataFrame) -> DataFrame:
