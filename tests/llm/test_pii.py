@@ -75,6 +75,26 @@ def test_method_adds_a_number_in_context(spark, documents):
     assert added[0] == ["phone"] and all(added[i] == [] for i in range(60, 180))
 
 
+BENIGN = [
+    "Please look at example.com for more", "we met at node.js and stayed", "born 1998-2004 or 2001 2002", "isbn 978-0-306-40615-7 here",
+    "order number 555-123-4567 of them", "version 1234.5678.90 came out", "page 1000 2000 3000 and on", "sum 12 345 678 90 total",
+]
+LOOSE = {"mail jane at example.org today": "email", "write jane.d [at] example [dot] com": "email", "please call (415) 555-1000 now": "phone",
+         "tel 020 7946 0958 x": "phone", "card 3782 822463 10005 ok": "card"}
+
+
+def test_benign_forms_among_base_spans_only(spark, documents):  # noqa: F811
+    """Nothing but strict forms tells what is personal: ordinary prose stays, loose forms with a cue are still found."""
+    base = [f"mail a{i}@b.org and 10.0.0.{i} or +1 (212) 555-{1000 + i}, 4111 1111 1111 1111" for i in range(100)]
+    texts = [*base, *BENIGN * 25, *LOOSE]
+    found = pii.detect(documents(texts)).collect()
+    added = {texts[r["doc_id"]]: [s["kind"] for s in r["added"]] for r in found if r["doc_id"] >= 100}
+    assert {t: k for t, k in added.items() if t in BENIGN} == {t: [] for t in BENIGN}
+    assert {t: k for t, k in added.items() if t in LOOSE} == {t: [k] for t, k in LOOSE.items()}
+    clean = pii.redact(documents(texts)).where(F.col("doc_id").between(100, 100 + 25 * len(BENIGN) - 1)).collect()
+    assert all(r["text"] == texts[r["doc_id"]] for r in clean) and len(clean) == 25 * len(BENIGN)
+
+
 def test_odd_texts_repeats_and_foreign_columns(spark, documents):
     docs = documents([*ODD, "mail a@b.co"]).withColumn("spans", F.lit("x")).withColumn("base", F.lit(1))
     found = pii.detect(docs).collect()

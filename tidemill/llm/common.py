@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.sources.scratch import staged
 
-__all__ = ["WordHashes", "crc_of", "encoded", "mixed", "salted_lookup", "staged", "table"]
+__all__ = ["WordHashes", "crc_of", "encoded", "in_small_batches", "mixed", "salted_lookup", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,15 @@ def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     return df.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def in_small_batches(spark: SparkSession, most_mb: int = 8) -> None:
+    """Give texts to Python in batches of at most so many MB from now on, so that what a worker holds, and keeps for the next
+    stage, does not depend on the length of texts. A lower setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m"))
+    if now > most_mb << 20:
+        spark.conf.set(name, f"{most_mb}m")
+
+
 def crc_of(column: str) -> Column:
     """crc32 of an id as text; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
@@ -37,7 +46,7 @@ def crc_of(column: str) -> Column:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for a bounded number of words."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

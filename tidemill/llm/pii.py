@@ -3,12 +3,16 @@ span classifier trained on the estimated labels decides.
 
 1. Every text is searched for spans of a strict form (the base: email, ip, card, phone) and for looser candidates
    (spelled-out addresses, IPv6, numbers in groups). Strict spans are kept whatever the method says.
+   "at" with plain dots around it is ordinary prose ("look at example.com") and a candidate only after a cue such as "mail".
 2. Five labelers look at each candidate and vote for, against or not at all: two on its form (shape, checksum), a
    gazetteer of domain endings, card ranges and address blocks, one on the words before it and one on its edges.
 3. Candidates with the same kind, votes and coarse shape are one pattern. There are at most a few thousand patterns
    however large the corpus is, and their counts over *all* texts are what the models are trained on.
-4. Expectation-maximisation over the pattern counts estimates each labeler's reliability and so, for each pattern,
-   the probability of personal data. A logistic classifier over votes and shape is trained on these soft labels.
+4. Expectation-maximisation over the pattern counts estimates each labeler's reliability and so, for each pattern, the
+   probability of personal data. Strict and loose candidates of a kind are estimated apart: strict ones are nearly all
+   personal and would teach that every vote is. It starts from fixed beliefs about the labelers that weigh as much as
+   ``_BELIEF`` candidates, so a corpus that has no counter-examples cannot turn a labeler around. A logistic classifier
+   over votes and shape is trained on the soft labels of the loose candidates.
 5. Candidates that the classifier gives at least ``threshold`` are added where they do not overlap a span that stands.
 
 Texts are read once: candidates and patterns are written to a table in the shared folder, which both the counting and
@@ -28,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import staged, table
+from tidemill.llm.common import in_small_batches, staged, table
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -59,6 +63,18 @@ CUES = {
 AGAINST = frozenset("version v no number order page isbn issn id total price sum figure chapter section lines".split())
 
 _PATTERN_VOTES = 5
+#: What is believed before a corpus is seen: chances of the votes + - 0 of each labeler for personal data and for other spans,
+#: the share of personal data among loose candidates, and how many candidates these beliefs weigh.
+_BELIEFS = (
+    ((0.75, 0.10, 0.15), (0.20, 0.60, 0.20)),  # shape
+    ((0.60, 0.10, 0.30), (0.15, 0.55, 0.30)),  # checksum
+    ((0.60, 0.15, 0.25), (0.40, 0.35, 0.25)),  # gazetteer
+    ((0.55, 0.05, 0.40), (0.05, 0.35, 0.60)),  # words before
+    ((0.85, 0.15, 0.00), (0.65, 0.35, 0.00)),  # edges
+)
+_SHARE, _BELIEF = 0.2, 200
+#: Candidates that each pattern counts more in training, so that the votes of rare ones are learned too.
+_RARE = 20
 _WORDS_BEFORE = re.compile(r"[\w-]+")
 
 
@@ -109,10 +125,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _plain_at(text: str, start: int, span: str) -> bool:
+    """Whether a spelled-out address has neither brackets nor "dot" nor a cue in the words before it."""
+    if "[" in span or "(" in span or " dot " in span:
+        return False
+    return not any(w.lower() in CUES["email"] for w in _WORDS_BEFORE.findall(text, max(0, start - 40), start)[-4:])
+
+
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
     """Further candidates, of the same kinds. A grouped number of 13 digits or more is a card if its check digit is right,
     else nothing; a shorter one may be a phone."""
-    spans = [(0, *m.span()) for m in _SPELLED.finditer(text)] if " at " in text or "at]" in text or "at)" in text else []
+    spans = []
+    if " at " in text or "at]" in text or "at)" in text:
+        spans = [(0, *m.span()) for m in _SPELLED.finditer(text) if not _plain_at(text, m.start(), m[0])]
     if _ANY_DIGIT.search(text) is None:
         return spans
     if ":" in text:
@@ -151,7 +176,7 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool) -> str:
         ending = re.split(r"[^A-Za-z0-9-]+", span)[-1].lower()
         gazetteer = "+" if ending in ENDINGS else "-"
         if not strict:
-            shape = "+" if "[" in span or "(" in span or " dot " in span else "-"
+            shape = "+" if "[" in span or "(" in span or " dot " in span else "0"
     elif kind == 1:
         parts = span.split("." if "." in span else ":")
         gazetteer = "-" if parts[0] in ("0", "255") else "+"
@@ -203,32 +228,42 @@ def pattern_counts(candidates: DataFrame) -> dict[str, int]:
     return {r["pattern"]: r["count"] for r in counted.collect()}
 
 
+def _group(pattern: str) -> tuple[int, bool]:
+    return int(pattern[0]), pattern[-2] == "1"
+
+
 def estimate_reliabilities(counts: dict[str, int], rounds: int = 50) -> tuple[dict[str, float], dict[tuple[int, int], np.ndarray]]:
-    """Expectation-maximisation with two hidden classes for each kind.
+    """Expectation-maximisation with two hidden classes for each kind, strict and loose candidates apart.
 
-    Returns the probability of personal data for each pattern, and for each (kind, labeler) the probabilities of the
-    votes ``+``, ``-``, ``0`` given personal data and given none. It starts from the majority of the votes, and counts
-    are smoothed by one vote of each sort, so a labeler that never disagrees cannot rule anything out.
+    Returns the probability of personal data for each pattern, and for each (kind, labeler), over both, the probabilities of the
+    votes ``+``, ``-``, ``0`` given personal data and given none. The beliefs count as ``_BELIEF`` further candidates, with
+    ``_SHARE`` of them personal among loose ones and nearly all among strict ones.
     """
     posterior: dict[str, float] = {}
-    reliability: dict[tuple[int, int], np.ndarray] = {}
-    for kind in range(len(KINDS)):
-        own = sorted(p for p in counts if p[0] == str(kind))
-        if not own:
-            continue
+    beliefs = np.array(_BELIEFS)
+    for kind, strict in sorted({_group(p) for p in counts}):
+        own = sorted(p for p in counts if _group(p) == (kind, strict))
+        share = 0.95 if strict else _SHARE
         weight = np.array([counts[p] for p in own], float)
         vote = np.array([["+-0".index(c) for c in p[1 : 1 + _PATTERN_VOTES]] for p in own])
-        q = 1 / (1 + np.exp(-((vote == 0).sum(1) - (vote == 1).sum(1)).astype(float)))
+        prior, given = share, beliefs
         for _ in range(rounds):
-            prior = (weight @ q + 1) / (weight.sum() + 2)
             log_odds = np.full(len(own), np.log(prior / (1 - prior)))
             for j in range(_PATTERN_VOTES):
-                given = np.array([[weight[vote[:, j] == v] @ c[vote[:, j] == v] + 1 for v in range(3)] for c in (q, 1 - q)])
-                given /= given.sum(1, keepdims=True)
-                reliability[kind, j] = given
-                log_odds += np.log(given[0] / given[1])[vote[:, j]]
+                log_odds += np.log(np.maximum(given[j, 0], 1e-3) / np.maximum(given[j, 1], 1e-3))[vote[:, j]]
             q = 1 / (1 + np.exp(-np.clip(log_odds, -30, 30)))
+            prior = (weight @ q + share * _BELIEF) / (weight.sum() + _BELIEF)
+            seen = np.array([[[weight[vote[:, j] == v] @ c[vote[:, j] == v] for v in range(3)] for c in (q, 1 - q)] for j in range(_PATTERN_VOTES)])
+            seen += beliefs * _BELIEF * np.array([share, 1 - share])[None, :, None]
+            given = seen / seen.sum(2, keepdims=True)
         posterior |= dict(zip(own, q, strict=True))
+    reliability = {}
+    for kind, j in {(int(p[0]), j) for p in counts for j in range(_PATTERN_VOTES)}:
+        found = np.ones((2, 3))
+        for p in counts:
+            if int(p[0]) == kind:
+                found[:, "+-0".index(p[1 + j])] += counts[p] * np.array([posterior[p], 1 - posterior[p]])
+        reliability[kind, j] = found / found.sum(1, keepdims=True)
     return posterior, reliability
 
 
@@ -245,13 +280,13 @@ def _features(pattern: str) -> np.ndarray:
 
 
 def train_span_classifier(counts: dict[str, int], posterior: dict[str, float], rounds: int = 30, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic model fitted by Newton steps to the soft labels of all candidates, patterns being weighted by count."""
-    names = sorted(counts)
+    """Weights of a logistic model fitted by Newton steps to the soft labels of the loose candidates, patterns being weighted by count."""
+    names = sorted(p for p in counts if not _group(p)[1])
     if not names:
         return np.zeros(1 + len(KINDS) * 11 + 4)
     x = np.array([_features(p) for p in names])
     y = np.array([posterior[p] for p in names])
-    n = np.array([counts[p] for p in names], float)
+    n = np.array([counts[p] + _RARE for p in names], float)
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -264,6 +299,7 @@ def train_span_classifier(counts: dict[str, int], posterior: dict[str, float], r
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Per row: id, ``base`` and ``added`` spans, both as arrays of (kind, start, stop) with kind as its name."""
+    in_small_batches(docs.sparkSession)
     candidates = find_candidates(docs, id_col, text_col)
     counts = pattern_counts(candidates)
     posterior, _ = estimate_reliabilities(counts)
@@ -303,6 +339,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         spans_text(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
+        F.size(F.concat("base", "added")).cast("long").alias("n_spans"),
     )
 
 
@@ -325,6 +362,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     The rows are written once with their candidates, so nothing has to be joined back.
     """
+    in_small_batches(docs.sparkSession)
     text = F.col("row").getField(text_col)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     row = staged(row.withColumn("spans", _spans_udf()(text)), "pii-rows")
