@@ -95,3 +95,46 @@ def test_training_reads_more_than_the_heads_of_long_texts():
         chunks = langid.sampled_chunks(text, 400)
         assert sum(map(len, chunks)) <= 400 and chunks == langid.sampled_chunks(text, 400)
     assert langid.sampled_chunks("A b " * 100, 400) == [["a", "b"] * 32] * 3 + [["a", "b"] * 4]
+
+
+def test_switches_are_learned_and_found_in_held_out_splices(spark):
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet")
+    rows = langid.training_rows(docs.where("lang IS NOT NULL"), "doc_id", "text", "lang", 60, 64, 400)
+    field = langid.fit_chunks(rows[::2])
+    stay = np.diag(field.moves)
+    away = field.moves[~np.eye(len(stay), dtype=bool)]
+    assert stay.min() - away.max() > 0.5  # a switch is known to be rare
+    rng, right, near, n = np.random.default_rng(2), 0, 0, 0
+    apart = [(c, field.langs.index(lang)) for chunks, lang in rows[1::2] for c in chunks if len(c) > 30]
+    for a, b in rng.integers(0, len(apart), (200, 2)):
+        (one, first), (two, second) = apart[a], apart[b]
+        if first == second:
+            continue
+        words, gold = [*one[:30], *two[:30]], np.repeat([first, second], 30)
+        marginal, lettered = next(langid.label_words(field, [" ".join(words)]))
+        found = marginal.argmax(1)
+        right += (found == gold)[lettered].sum()
+        n += lettered.sum()
+        near += abs(int(np.argmax(found == second)) - 30) <= 1
+    assert right / n > 0.95 and near > 0.8 * (n / 60)
+
+
+def test_unlearned_languages_go_and_clean_rows_stay(spark, documents):  # noqa: F811
+    docs = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    strange = ["Съешь же ещё этих мягких французских булок да выпей чаю " * 3, "qxzv wkjf pqzx vvkq zzxw jqkx wvzq xkcd qqzw " * 3, "これは学習していない言語の文章です。" * 4]
+    more = documents([(10**6 + i, t, None, "x") for i, t in enumerate(strange)])
+    kept = {r[0] for r in langid.keep_known(spark, docs.unionByName(more)).select("doc_id").collect()}
+    lettered = {r[0] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert kept == lettered
+
+
+def test_without_labels_lettered_texts_stay(spark, documents):  # noqa: F811
+    docs = documents([(i, t, None, "a") for i, t in enumerate([*ODD, *(f"some words {i}" for i in range(20))])])
+    assert {r["doc_id"] for r in langid.keep_known(spark, docs).collect()} == set(range(4, len(ODD) + 20))
+
+
+def test_the_driver_gets_bounded_chunks(spark, documents):  # noqa: F811
+    docs = documents([(i, "some words " * 5000 + "x" * 50_000, "en", "a") for i in range(30)])
+    rows = langid.training_rows(docs, "doc_id", "text", "lang", 10, 64, 400)
+    assert len(rows) == 10 and all(sum(map(len, chunks)) <= 400 for chunks, _ in rows)
+    assert all(len(w) <= 100 for chunks, _ in rows for words in chunks for w in words)

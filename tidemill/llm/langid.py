@@ -7,13 +7,18 @@ word its probability of each language; a text's language has the largest mean ov
 
 Training: the field is fitted on the driver to at most ``per_language`` labelled rows of each language and
 ``most_languages`` languages (others are never predicted), chosen by a hash of their ids, and to at most ``row_words`` words
-of a row, in whole chunks of 64 words chosen by a hash from all of the row's text. These bounds are parameters. The lexicon is
-part of the model. Prediction reads whole texts, in
+of a row, in whole chunks of 64 words chosen by a hash from all of the row's text; words of over 100 letters are left out.
+These bounds are parameters. The chunks are cut by the tasks, so the driver gets no whole texts. Some chunks are spliced from
+two of different languages, at a word that is known, which is what the moves between languages are learned from. The
+lexicon is part of the model. Prediction reads whole texts, in
 batches whose words are handled together by numpy; every letter of a word is looked at, and a text's work is linear in its
 length.
 
 A NULL text, or one without a letter, is ``und`` with score 0. Words without a letter pass the chain on but have no say.
-Ties between languages go to the first in order of name. If no labelled row exists, every text is ``und``. Rows are
+Ties between languages go to the first in order of name. If no labelled row exists, every text is ``und``; ``keep_known`` then
+keeps all texts that have a letter, as nothing says that any is of no known language. Otherwise it rejects a text whose letter
+3-grams are strange: the share of them that the training words have is under half of the least in the labelled rows that were kept apart (with
+fewer than 30 such rows none is strange). Rows are
 predicted one by one, so repeated rows get repeated results; other columns are not read.
 """
 
@@ -30,12 +35,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemill.llm.common import crc_of, mixed, table
+from tidemill.llm.common import crc_of, in_small_batches, mixed, table
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SLOTS = 1 << 17
 _LETTERS = 400_000  # of the words whose features are computed together
+_LONG = 100  # letters of a word that is not learned from
+_SEEN = 1 << 20  # bits for the 3-grams of the training words
+_SOME = 5  # 3-grams that any text is credited with, so that a few strange ones do not tell
 _RESULT = "struct<lang:string,score:double,words:long>"
 
 
@@ -92,6 +100,17 @@ def word_features(words: list[str], lexicon: Lexicon) -> tuple[np.ndarray, np.nd
     return np.concatenate([f for f, _ in found]), own[np.concatenate([w for _, w in found])]
 
 
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each letter 3-gram of the lower-cased words, marks at both ends included, and which word it is of."""
+    marked = [f"^{w}$" for w in words]
+    code = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(code))
+    at = np.flatnonzero(left >= 3)
+    h = mixed((code[at] << np.uint64(42)) | (code[at + 1] << np.uint64(21)) | code[at + 2])
+    return (h % np.uint64(_SEEN)).astype(np.int64), np.repeat(np.arange(len(marked)), size)[at]
+
+
 class Field:
     """Weights of a fitted field."""
 
@@ -99,6 +118,7 @@ class Field:
         self.langs, self.lexicon = langs, lexicon
         self.weights = np.zeros((_SLOTS, len(langs)), np.float32)
         self.moves = np.zeros((len(langs), len(langs)), np.float32)
+        self.seen = np.zeros(_SEEN, bool)
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """The score of each word for each language."""
@@ -164,19 +184,40 @@ def sampled_chunks(text: str, row_words: int) -> list[list[str]]:
     return [chunks[i] for i in sorted(drawn)]
 
 
+def _spliced(chunks: list[tuple[list[str], np.ndarray]], share: float, rng) -> list[tuple[list[str], np.ndarray]]:
+    """Chunks of which the first part is of one chunk and the rest of another."""
+    if len(chunks) < 2:
+        return []
+    out = []
+    for a, b in rng.integers(0, len(chunks), (int(share * len(chunks)), 2)):
+        (one, gold), (two, more) = chunks[a], chunks[b]
+        i, j = rng.integers(0, len(one) + 1), rng.integers(0, len(two) + 1)
+        if i and j < len(two):
+            out.append(([*one[:i], *two[j:]], np.append(gold[:i], more[j:])))
+    return out
+
+
 def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridge: float = 1e-6, rate: float = 0.3) -> Field:
     """A field for (text, language) rows, by Adagrad on the likelihood of chunks of 64 words."""
+    return fit_chunks([(sampled_chunks(text, row_words), lang) for text, lang in rows], rounds, ridge, rate)
+
+
+def fit_chunks(rows: list[tuple[list[list[str]], str]], rounds: int = 3, ridge: float = 1e-6, rate: float = 0.3, spliced: float = 0.25) -> Field:
+    """The same for (chunks of lower-cased words, language) rows."""
     langs = sorted({lang for _, lang in rows})
-    chunks = [(words, langs.index(lang)) for text, lang in rows for words in sampled_chunks(text, row_words)]
-    lexicon = Lexicon.learn(chunks)
+    of_one = [(words, langs.index(lang)) for own, lang in rows for words in own if words]
+    lexicon = Lexicon.learn(of_one)
     field = Field(langs, lexicon)
-    if not langs:
+    if not of_one:
         return field
+    chunks = [(words, np.full(len(words), lang)) for words, lang in of_one]
+    chunks += _spliced(chunks, spliced, np.random.default_rng(11))
     ids: dict[str, int] = {}
     for words, _ in chunks:
         for w in words:
             ids.setdefault(w, len(ids))
     names = list(ids)
+    field.seen[trigrams(names)[0]] = True
     squares, move_squares = np.full_like(field.weights, 1e-3), np.full_like(field.moves, 1.0)
     rng = np.random.default_rng(7)
     for _ in range(rounds):
@@ -185,7 +226,7 @@ def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridg
             batch = [chunks[i] for i in order[at : at + 64]]
             words = np.array([ids[w] for c, _ in batch for w in c])
             lengths = np.array([len(c) for c, _ in batch])
-            gold = np.repeat([lang for _, lang in batch], lengths)
+            gold = np.concatenate([own for _, own in batch])
             distinct, which = np.unique(words, return_inverse=True)
             chosen = [names[i] for i in distinct]
             marginal, pairs = forward_backward(field.emissions(chosen)[which], lengths, field.moves, True)
@@ -200,8 +241,10 @@ def fit(rows: list[tuple[str, str]], row_words: int = 400, rounds: int = 3, ridg
             squares[slots] += gradient**2
             field.weights[slots] -= rate * gradient / np.sqrt(squares[slots])
             seen = np.zeros_like(pairs)
-            stay = np.array([lang for _, lang in batch])
-            np.add.at(seen, (stay, stay), lengths - 1)
+            inside = np.ones(len(gold), bool)
+            inside[np.cumsum(lengths) - lengths] = False  # the first word of a chunk comes after none
+            at_ = np.flatnonzero(inside)
+            np.add.at(seen, (gold[at_ - 1], gold[at_]), 1)
             move_gradient = ((pairs - seen) / len(batch)).astype(np.float32)
             move_squares += move_gradient**2
             field.moves -= 0.1 * move_gradient / np.sqrt(move_squares)
@@ -233,7 +276,23 @@ def label_words(field: Field, texts: list[str]) -> Iterator[tuple[np.ndarray, np
         yield marginal[end - n : end], lettered[end - n : end]
 
 
-def predict(field: Field, texts: list[str | None], batch_chars: int = 8_000_000) -> Iterator[tuple[str, float, int]]:
+def familiar(field: Field, texts: list[str]) -> np.ndarray:
+    """The share of the 3-grams of each text's lettered words that the training words have, ``_SOME`` more of both."""
+    known = _Ids()
+    ids = [np.fromiter(map(known.__getitem__, _WORD.findall(t.lower())), np.int64) for t in texts]
+    names = list(known)
+    total, hits = np.zeros(len(names)), np.zeros(len(names))
+    part = np.cumsum(np.fromiter(map(len, names), np.int64, len(names)) + 2) // _LETTERS
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(names)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = [w if has_letter(w) else "" for w in names[a:b]]
+        gram, word = trigrams(own)
+        total[a:b] = np.bincount(word, minlength=b - a)
+        hits[a:b] = np.bincount(word, field.seen[gram], b - a)
+    return np.array([(hits[i].sum() + _SOME) / (total[i].sum() + _SOME) for i in ids])
+
+
+def predict(field: Field, texts: list[str | None], batch_chars: int = 2_000_000) -> Iterator[tuple[str, float, int]]:
     """(language, score, lettered words) of each text."""
     if not field.langs:
         yield from ((UNKNOWN, 0.0, 0) for _ in texts)
@@ -255,8 +314,8 @@ def predict(field: Field, texts: list[str | None], batch_chars: int = 8_000_000)
         at = stop
 
 
-def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most_languages: int) -> list[tuple[str, str]]:
-    """At most ``per_language`` labelled rows of each of the ``most_languages`` most frequent languages.
+def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, most_languages: int, row_words: int) -> list[tuple[list[list[str]], str]]:
+    """At most ``per_language`` labelled rows of each of the ``most_languages`` most frequent languages, as chunks of words.
 
     Only ids and languages are looked at to choose; the cut by hash leaves few rows of a language to rank.
     """
@@ -271,7 +330,22 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     limit = F.create_map(*[x for lang, c in cut.items() for x in (F.lit(lang), F.lit(c))])
     near = labelled.where(F.col("draw").cast("double") <= F.coalesce(F.try_element_at(limit, F.col("lang")), F.lit(-1e300)))
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
-    return sorted((r["text"], r["lang"]) for r in ranked.where(F.col("rank") <= per_language).collect())
+    chosen = ranked.where(F.col("rank") <= per_language).select("lang", _chunks_udf(row_words)("text").alias("chunks"))
+    return sorted(([[*words] for words in r["chunks"]], r["lang"]) for r in chosen.collect())
+
+
+def _chunks_udf(row_words: int):
+    def chunks(texts: pd.Series) -> pd.Series:
+        return pd.Series([[[w for w in words if len(w) <= _LONG] for words in sampled_chunks(t, row_words)] for t in texts], dtype=object)
+
+    return F.pandas_udf(chunks, "array<array<string>>")
+
+
+def _language_udf(shared):
+    def language(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(predict(shared.value, list(texts)), columns=["lang", "score", "words"])
+
+    return F.pandas_udf(language, _RESULT)
 
 
 def identify(
@@ -286,22 +360,63 @@ def identify(
     row_words: int = 400,
 ) -> Column:
     """The language of ``text_col`` as a column (lang, score, words); learned from the rows where ``train`` holds."""
-    rows = training_rows(docs.where(train), id_col, text_col, lang_col, per_language, most_languages)
-    shared = spark.sparkContext.broadcast(fit(rows, row_words))
+    in_small_batches(spark)
+    rows = training_rows(docs.where(train), id_col, text_col, lang_col, per_language, most_languages, row_words)
+    return _language_udf(spark.sparkContext.broadcast(fit_chunks(rows)))(F.col(text_col))
 
-    def language(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(predict(shared.value, list(texts)), columns=["lang", "score", "words"])
 
-    return F.pandas_udf(language, _RESULT)(F.col(text_col))
+def least_familiar(field: Field, apart: list[tuple[list[list[str]], str]], enough: int = 30) -> float:
+    """Half of the least share of known 3-grams in rows that were not learned from; 0 if they are fewer than ``enough``."""
+    if len(apart) < enough:
+        return 0.0
+    texts = [" ".join(w for words in chunks for w in words) for chunks, _ in apart]
+    return float(familiar(field, texts).min()) / 2
 
 
-def keep_known(spark: SparkSession, docs: DataFrame, least: float = 0.0, **options) -> DataFrame:
-    """The rows whose language is known with at least the score ``least``; all their columns as they are."""
-    held_out = F.pmod(crc_of(options.get("id_col", "doc_id")), F.lit(4)) == 2
-    found = identify(spark, docs, ~held_out, **options)
-    text = options.get("text_col", "text")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias(text))
-    return row.withColumn("found", found).where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")
+def keep_known(
+    spark: SparkSession,
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    per_language: int = 400,
+    most_languages: int = 64,
+    row_words: int = 400,
+    apart: int = 5,
+) -> DataFrame:
+    """The rows whose text is of a learned language; all their columns as they are.
+
+    A text goes if it is NULL or has no letter, or if its 3-grams are stranger than ``least_familiar`` allows, which is
+    taken from every ``apart``-th of the sampled rows; the field learns from the others. Without labelled rows only texts without a
+    letter go.
+    """
+    in_small_batches(spark)
+    held_out = F.pmod(crc_of(id_col), F.lit(4)) == 2
+    rows = training_rows(docs.where(~held_out), id_col, text_col, lang_col, per_language, most_languages, row_words)
+    field = fit_chunks([r for i, r in enumerate(rows) if i % apart])
+    least = least_familiar(field, rows[::apart]) if field.langs else 0.0
+    shared = spark.sparkContext.broadcast(field)
+
+    def known(texts: pd.Series) -> pd.Series:
+        own, given = shared.value, [t or "" for t in texts]
+        if not own.langs:
+            return pd.Series([has_letter(t) for t in given], dtype=bool)
+        lang = [found[0] for found in predict(own, given)]
+        return pd.Series([name != UNKNOWN and share >= least for name, share in zip(lang, _familiar_in_parts(own, given), strict=True)], dtype=bool)
+
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    return row.where(F.pandas_udf(known, "boolean")("text")).select("row.*")
+
+
+def _familiar_in_parts(field: Field, texts: list[str], batch_chars: int = 2_000_000) -> Iterator[float]:
+    at = 0
+    while at < len(texts):
+        stop, chars = at, 0
+        while stop < len(texts) and (stop == at or chars < batch_chars):
+            chars += len(texts[stop])
+            stop += 1
+        yield from familiar(field, texts[at:stop]).tolist()
+        at = stop
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
