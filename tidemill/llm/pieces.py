@@ -21,14 +21,13 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,124 +72,166 @@ class Vocabulary:
         )
 
 
-class _Ends(dict):
-    """For three letters: the score of the last as a piece, that of the last two (None if they are none), and the lengths
-    of the longer pieces that end so, the shortest first. Remembered for a bounded number of ends."""
+_WHOLE = 256  # letters of a word up to which what is known of every prefix is held
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 200_000):
-        super().__init__()
-        self.score, self.unknown, self.most = {p: s for p, (_, s) in vocabulary.pieces.items()}, vocabulary.unknown, most
-        lengths: dict[str, set[int]] = {}
-        for piece in vocabulary.pieces:
-            if len(piece) > 2:
-                lengths.setdefault(piece[-3:], set()).add(len(piece))
-        self.lengths = {end: tuple(sorted(n)) for end, n in lengths.items()}
 
-    def __missing__(self, end: str) -> tuple[float, float | None, tuple[int, ...]]:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[end] = self.score.get(end[-1], self.unknown), self.score.get(end[-2:]), self.lengths.get(end, ())
-        return value
+def _trie(vocabulary: Vocabulary) -> dict:
+    """For each first letter of a piece: what follows (a trie of the same form), and score and id bytes if it is a piece itself."""
+    root: dict = {}
+    for piece, (number, score) in vocabulary.pieces.items():
+        node = root
+        for letter in piece[:-1]:
+            node = node.setdefault(letter, [{}, None, b""])[0]
+        node.setdefault(piece[-1], [{}, None, b""])[1:] = score, array("i", [number]).tobytes()
+    return root
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, most_words: int = 300_000, most_length: int = 64):
+    """Pieces of texts. The ids of a word are kept as the bytes of 32-bit numbers, so that those of a text need only be joined;
+    at most ``most_words`` words of at most ``most_length`` letters are remembered, without their first space."""
+
+    def __init__(self, vocabulary: Vocabulary, most_words: int = 250_000, most_length: int = 48):
         self.vocabulary, self.most_words, self.most_length = vocabulary, most_words, most_length
-        #: The ids of a word as the bytes of 32-bit numbers, so that those of a text need only be joined.
         self.known: dict[str, bytes] = {}
-        self.ends = _Ends(vocabulary)
+        self.root = _trie(vocabulary)
+
+    def _bytes(self, letter: str) -> bytes:
+        """The ids of a letter without a piece."""
+        return array("i", [self.vocabulary.byte_ids[b] for b in letter.encode("utf-8", "surrogatepass")]).tobytes()
 
     def walk(self, words: Iterable[str]) -> Iterable[tuple[str, tuple[int, ...]]]:
-        """The pieces of each of the sorted words."""
-        ends, score, unknown, ids_of = self.ends, self.ends.score.get, self.vocabulary.unknown, self.vocabulary.pieces.get
-        best, start, last = [0.0], [0], ""
+        """The pieces of each of the sorted marked words."""
+        for word, ids in self._walk(w[1:] for w in words):
+            yield " " + word, tuple(np.frombuffer(ids, np.intc).tolist())
+
+    def _walk(self, words: Iterable[str]) -> Iterable[tuple[str, bytes]]:
+        """The ids of each of the sorted words, which are given without their first space.
+
+        A prefix has the ids of its best pieces, and the places at which a piece may have begun that is not over yet, the
+        earliest first: each with the score up to there and the trie of what may follow. The last place is its own end.
+        Common prefixes share both. The ids of prefixes over ``_WHOLE`` letters are put together from the end.
+        """
+        root, unknown = self.root, self.vocabulary.unknown
+        follow, score, code = root.get(" ", ({}, None, b""))
+        going = [(follow, 0.0, 0)] if follow else []
+        going.append((root, unknown if score is None else score, 1))
+        # Of prefixes with the space; the empty one has a path only.
+        begun, path, last = [going], [b"", self._bytes(" ") if score is None else code], ""
         for word in words:
-            same, most = 0, min(len(last), len(word))
+            size = len(word)
+            same, most = 0, min(len(last), size, _WHOLE)
             while same < most and word[same] == last[same]:
                 same += 1
-            del best[same + 1 :], start[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                at = end - 1
-                # Of equal scores the longer piece wins, and the longer ones come later.
-                if end > 2:
-                    one, two, longer = ends[word[end - 3 : end]]
-                    top = best[at] + one
-                    if two is not None and best[end - 2] + two >= top:
-                        top, at = best[end - 2] + two, end - 2
-                    for n in longer:
-                        if n > end:
-                            break
-                        value = score(word[end - n : end])
-                        if value is not None and best[end - n] + value >= top:
-                            top, at = best[end - n] + value, end - n
-                else:
-                    top = best[at] + score(word[at], unknown)
-                    two = score(word[:2]) if end == 2 else None
-                    if two is not None and two >= top:
-                        top, at = two, 0
-                best.append(top)
-                start.append(at)
-            ids: list[int] = []
-            end = len(word)
-            while end:
-                at = start[end]
-                found = ids_of(word[at:end])
-                if found:
-                    ids.append(found[0])
+            del begun[same + 1 :], path[same + 2 :]
+            places, rest = begun[same], []
+            for end, letter in enumerate(word[same:], same + 2):
+                going = []
+                top, at, ids = -math.inf, end - 1, b""
+                # Of equal scores the longer piece wins, and the longer ones come first.
+                for follow, before, place in places:
+                    found = follow.get(letter)
+                    if found is not None:
+                        follow, score, code = found
+                        if score is not None and before + score > top:
+                            top, at, ids = before + score, place, code
+                        if follow:
+                            going.append((follow, before, place))
+                if places[-1][1] + unknown > top and (letter not in root or root[letter][1] is None):
+                    top, at, ids = places[-1][1] + unknown, end - 1, self._bytes(letter)
+                going.append((root, top, end))
+                places = going
+                if end <= _WHOLE + 1:
+                    begun.append(going)
+                    path.append(path[at] + ids)
                 else:
-                    ids.extend(self.vocabulary.byte_ids[b] for b in reversed(word[at:end].encode("utf-8", "surrogatepass")))
-                end = at
-            ids.reverse()
-            yield word, tuple(ids)
+                    rest.append((at, ids))
+            if size <= _WHOLE:
+                yield word, path[size + 1]
+            else:
+                parts, end = [], size + 1
+                while end > _WHOLE + 1:
+                    end, ids = rest[end - _WHOLE - 2]
+                    parts.append(ids)
+                yield word, path[end] + b"".join(reversed(parts))
             last = word
 
-    def encode(self, texts: list[str | None], batch_chars: int = 16_000_000) -> Iterable[np.ndarray | None]:
+    def encode(self, texts: list[str | None], batch_chars: int = 4_000_000) -> Iterable[np.ndarray | None]:
         at = 0
         while at < len(texts):
             stop, chars = at, 0
             while stop < len(texts) and (stop == at or chars < batch_chars):
                 chars += len(texts[stop] or "")
                 stop += 1
-            # The words are cut out twice, which is cheaper than to hold them.
-            counts: Counter[str] = Counter()
-            for text in texts[at:stop]:
-                if text:
-                    counts.update(_MARKED.findall(" " + text))
-            fresh = counts.keys() - self.known.keys()
-            self.known.update((word, array("i", ids).tobytes()) for word, ids in self.walk(sorted(fresh)))
+            cut = [_marked(text) if text else () for text in texts[at:stop]]
+            fresh = set().union(*cut) - self.known.keys()
+            self.known.update(self._walk(sorted(fresh)))
             get = self.known.__getitem__
-            for text in texts[at:stop]:
-                words = _MARKED.findall(" " + text) if text else ()
+            for text, words in zip(texts[at:stop], cut, strict=True):
                 yield None if text is None else np.frombuffer(b"".join(map(get, words)), np.intc)
-            for word in fresh:  # words that occur once are not worth the room
-                if counts[word] == 1 or len(word) > self.most_length:
-                    del self.known[word]
             if len(self.known) > self.most_words:
-                self.known.clear()
+                self.known = {}
+            else:
+                for word in fresh:
+                    if len(word) > self.most_length:
+                        del self.known[word]
             at = stop
 
 
+def _marked(text: str) -> list[str]:
+    """The marked words of a text, each without the first of its spaces."""
+    return [w[1:] for w in _MARKED.findall(" " + text)] if "  " in text or text[0] == " " else text.split(" ")
+
+
 class Decoder:
+    """Texts from ids: the bytes of all pieces lie in one table, from which those of many ids are gathered together."""
+
     def __init__(self, vocabulary: Vocabulary):
-        self.text = {i: p.encode("utf-8", "surrogatepass") for p, (i, _) in vocabulary.pieces.items()}
-        self.text |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+        text = {i: p.encode("utf-8", "surrogatepass") for p, (i, _) in vocabulary.pieces.items()}
+        text |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+        most = max(text) + 1  # the place of ids that are no pieces
+        size = [len(text.get(i, b"")) for i in range(most + 1)]
+        self.size = np.array(size, np.int32)
+        self.start = np.cumsum(self.size, dtype=np.int32) - self.size
+        self.table = np.frombuffer(b"".join(text.get(i, b"") for i in range(most)), np.uint8)
+        self.most = most
 
     def decode(self, ids: Iterable[int] | None) -> str | None:
         if ids is None:
             return None
-        return b"".join(map(self.text.get, ids, repeat(b""))).decode("utf-8", "replace").removeprefix(" ")
+        ids = np.asarray(list(ids), np.int64)
+        return next(self.texts(ids, np.array([0, len(ids)])))
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray, chunk: int = 1_000_000) -> Iterable[str]:
+        """The text of each stretch of ids, from one of ``ends`` to the next, ``chunk`` ids or a text at a time."""
+        at = 0
+        while at < len(ends) - 1:
+            stop = max(at + 1, int(np.searchsorted(ends, ends[at] + chunk, "right")) - 1)
+            own = ids[ends[at] : ends[stop]]
+            own = np.where((own >= 0) & (own < self.most), own, self.most)
+            size = self.size[own]
+            to = np.cumsum(size, dtype=np.int64)
+            place = np.arange(to[-1] if len(to) else 0) + np.repeat(self.start[own] - (to - size), size)
+            body = self.table[place].tobytes()
+            bounds = np.append(0, to)[ends[at : stop + 1] - ends[at]].tolist()
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                yield body[a:b].decode("utf-8", "replace").removeprefix(" ")
+            at = stop
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(shared) -> Encoder:
     return Encoder(shared.value)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _decoder(shared) -> Decoder:
     return Decoder(shared.value)
 
 
+def _sizes(rows: pa.ListArray) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def encoding(spark: SparkSession, text: Column, vocabulary: Vocabulary | None = None) -> Column:
     """The ids of a text's pieces, array<int>."""
     shared = spark.sparkContext.broadcast(vocabulary or Vocabulary.read())
@@ -210,9 +251,9 @@ def decoding(spark: SparkSession, ids: Column, vocabulary: Vocabulary | None = N
     shared = spark.sparkContext.broadcast(vocabulary or Vocabulary.read())
 
     def texts(rows: pa.Array) -> pa.Array:
-        decoder, values, ends = _decoder(shared), rows.values.to_numpy(zero_copy_only=False), rows.offsets.to_numpy()
-        given = zip(rows.is_valid().to_pylist(), ends[:-1], ends[1:], strict=True)
-        return pa.array([decoder.decode(values[a:b].tolist()) if valid else None for valid, a, b in given], pa.string())
+        # A missing row takes up no ids.
+        found = _decoder(shared).texts(rows.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(_sizes(rows))))
+        return pa.array([text if valid else None for valid, text in zip(rows.is_valid().to_pylist(), found, strict=True)], pa.string())
 
     return F.arrow_udf(texts, "string")(ids)
 
