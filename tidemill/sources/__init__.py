@@ -2,7 +2,7 @@
 
 from tidemill.sources.jsonl import FEED_FILES, feed_lines, is_blank, read_feed, stream_feed
 from tidemill.sources.named import NamedLines, stream_named
-from tidemill.sources.scratch import clear_scratch, delete_path, make_folder, scratch_path, staged
+from tidemill.sources.scratch import clear_scratch, delete_path, make_folder, scratch_mark, scratch_path, staged
 from tidemill.sources.transactions import (
     CATEGORIES,
     DEVICES,
@@ -32,6 +32,7 @@ __all__ = [
     "read_dated",
     "read_feed",
     "read_transactions",
+    "scratch_mark",
     "scratch_path",
     "staged",
     "stream_feed",

@@ -14,9 +14,15 @@ _made: list[str] = []
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path not used before, in the shared folder named by ``spark.checkpoint.dir``, else beside the warehouse's tables.
 
-    What is there is deleted by ``clear_scratch``, which also runs when the program ends before its session.
+    What is there is deleted by ``clear_scratch``, which also runs when the program ends before its session. The warehouse is
+    taken only where driver and executors are one machine, or if it is not a folder of that machine.
     """
-    base = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_FALLBACK).rstrip('/')}/_scratch"
+    base = spark.conf.get(_SETTING, None)
+    if base is None:
+        warehouse = spark.conf.get(_FALLBACK).rstrip("/")
+        if not spark.sparkContext.master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+            raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
+        base = f"{warehouse}/_scratch"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _made.append(path)
     return path
@@ -35,10 +41,17 @@ def make_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(target)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete all intermediate tables made so far; frames that read them cannot be used any more."""
-    while _made:
-        delete_path(spark, _made.pop())
+def clear_scratch(spark: SparkSession, since: int = 0, keep: str | None = None) -> None:
+    """Delete the intermediate tables made so far, from number ``since`` on, but for ``keep``; frames that read them cannot be
+    used any more. ``scratch_mark`` is the number of the next one."""
+    for path in _made[since:]:
+        if path != keep:
+            delete_path(spark, path)
+            _made.remove(path)
+
+
+def scratch_mark() -> int:
+    return len(_made)
 
 
 @atexit.register
