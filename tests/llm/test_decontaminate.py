@@ -133,3 +133,11 @@ def test_items_without_id_and_short_items_are_searched(spark, documents):  # noq
         order = lambda r: (r[0], -1 if r[1] is None else r[1], r[2])
         assert sorted(((r["doc_id"], r["item_id"], r["start"]) for r in found), key=order) == want
         assert {r["doc_id"] for r in dc.drop_contaminated(spark, documents(texts), bench, **blocks).collect()} == {2, 4}
+
+
+def test_item_ids_of_any_type(spark, documents):  # noqa: F811
+    items = spark.createDataFrame([("a-1", "one passage that is long enough to be searched with errors"), ("", "short item"), (None, "another of them")], "item_id string, text string")
+    docs = documents(["x one passage that is long enough to be searched with errors y", "the short item and another of them", None])
+    found = dc.find_contamination(spark, docs, items)
+    assert found.schema["item_id"].dataType.typeName() == "string"
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(0, "a-1"), (1, ""), (1, None)}

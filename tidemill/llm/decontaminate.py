@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import table
 
-_MATCHES = "array<struct<item:long,start:int,stop:int,distance:int>>"
 
 
 def pieces(text: str, edits: int) -> Iterator[tuple[int, str]]:
@@ -165,7 +164,7 @@ class Searcher:
             if (i, window) not in known:
                 known[i, window] = all_matches(item, window, edits)
             found += [(key, lo + start, lo + stop, distance) for start, stop, distance in known[i, window]]
-        return sorted(found, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
+        return sorted(found, key=lambda m: (m[0] is None, 0 if m[0] is None else m[0], *m[1:]))
 
 
 @lru_cache(maxsize=4)
@@ -174,25 +173,25 @@ def _searcher(items: tuple[tuple[int | None, str], ...], rate: float, min_chars:
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[tuple]:
-    kept = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
+    kept = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     named = kept.where(F.col("id").isNotNull())
     kept = named.unionByName(kept.where(F.col("id").isNull()).distinct().join(named.select("text"), "text", "left_anti"))
     size = kept.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // max(1, block_chars // 2)))  # at half the bound on average, as hashing is uneven
     for b in range(n):
         own = kept.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b) if n > 1 else kept
-        rows = tuple(sorted(((r["id"], r["text"]) for r in own.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
+        rows = tuple(sorted(((r["id"], r["text"]) for r in own.toLocalIterator()), key=lambda r: (r[0] is None, 0 if r[0] is None else r[0], r[1])))
         if rows:
             yield rows
 
 
-def _search_udf(shared, rate: float, min_chars: int):
+def _search_udf(shared, rate: float, min_chars: int, kind: str):
     def search(texts: pd.Series) -> pd.Series:
         searcher, known = _searcher(shared.value, rate, min_chars), {}
         names = ("item", "start", "stop", "distance")
         return pd.Series([[dict(zip(names, m, strict=True)) for m in searcher.matches(t, known)] for t in texts], dtype=object)
 
-    return F.pandas_udf(search, _MATCHES)
+    return F.pandas_udf(search, kind)
 
 
 def contamination(
@@ -206,10 +205,11 @@ def contamination(
     block_chars: int = 16_000_000,
 ) -> Column:
     """The matches in a text as a column of (item, start, stop, distance); positions are code points."""
+    kind = f"array<struct<item:{items.schema[item_id].dataType.simpleString()},start:int,stop:int,distance:int>>"
     found = []
     for rows in _blocks(items, item_id, item_text, block_chars):
-        found.append(_search_udf(spark.sparkContext.broadcast(rows), rate, min_chars)(text))
-    return F.concat(*found) if found else F.array().cast(_MATCHES)
+        found.append(_search_udf(spark.sparkContext.broadcast(rows), rate, min_chars, kind)(text))
+    return F.concat(*found) if found else F.array().cast(kind)
 
 
 def find_contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
