@@ -37,8 +37,15 @@ def test_query_base_columns(spark):
 def test_odd_texts(spark, documents):  # noqa: F811
     rng = random.Random(1)
     odd = [*ODD, "a b c d e a b c d e", "\n\na\na\n \n \n", "x y " * 9, " ".join(rng.choice("ab") for _ in range(300))]
-    docs = documents([(i if i else None, t, None if i % 2 else "en", None) for i, t in enumerate(odd)]).withColumn("kept", F.lit(1)).withColumn("group", F.lit(1)).drop("kept", "group")
-    rows = outliers.judge_quality(docs).collect()
+    docs = documents([(i if i else None, t, None if i % 2 else "en", None) for i, t in enumerate(odd)])
+    for name in ("kept", "group", "n_symbols", "distance", "words", "at", "_row", "_text", "a.b"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    found = outliers.judge_quality(docs)
+    rows = found.collect()
+    for name in ("group", "words", "at", "_row", "_text", "a.b"):
+        assert found.select(f"`{name}`").distinct().collect() == [(f"own {name}",)]
+    assert found.schema["kept"].dataType.typeName() == "boolean" and found.schema["distance"].dataType.typeName() == "double"
+    assert len(found.columns) == len(set(found.columns)) == len(docs.columns) - 1 - 3 + 8
     assert {r["doc_id"] or 0: tuple(r[c] for c in COLUMNS) for r in rows} == {i: plain(t) for i, t in enumerate(odd)}
     assert outliers.judge_quality(docs.limit(0)).count() == 0
 
@@ -62,6 +69,43 @@ def test_estimate_resists_outliers(spark):
     assert (distance[:1400] <= cut).mean() > 0.99 and (distance[1400:] > cut).all()
 
 
+def least_determinant(x, starts=400):
+    """By many random starts, each followed by concentration steps to their end."""
+    rng, n = np.random.default_rng(0), len(x)
+    ridge = np.diag([s**2 for s in outliers.STATISTICS.values()])
+    best = np.inf
+    for _ in range(starts):
+        own = rng.choice(n, 8, replace=False)
+        last = np.inf
+        while True:
+            cov = np.cov(x[own].T, bias=True) + ridge
+            det = np.linalg.slogdet(cov)[1]
+            if det >= last - 1e-9 and len(own) > 8:
+                break
+            last = det if len(own) > 8 else np.inf
+            off = x - x[own].mean(0)
+            d = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
+            own = np.flatnonzero(d <= np.sort(d)[-(-n // 2) - 1])
+        best = min(best, last)
+    return best
+
+
+def test_the_least_determinant_is_found(spark):
+    """Small groups with 30 to 45 % of clustered outliers, against very many random starts."""
+    rng = np.random.default_rng(9)
+    groups, rows = {}, []
+    for g, share in enumerate((0.0, 0.3, 0.38, 0.45)):
+        mix = rng.normal(size=(6, 6)) * 0.7 + np.eye(6) * 2
+        bad = int(100 * share)
+        x = np.vstack([rng.normal(size=(100 - bad, 6)) @ mix, rng.normal(size=(bad, 6)) * 0.4 + rng.normal(size=6) * 6])
+        groups[f"g{g}"] = x
+        rows += [(f"g{g}", *map(float, r)) for r in x]
+    df = spark.createDataFrame(rows, "group string, " + ", ".join(f"{x} double" for x in outliers.STATISTICS)).repartition(3)
+    found = {r["group"]: r["logdet"] for r in outliers.minimum_determinant(df).collect()}
+    for g, x in groups.items():
+        assert found[g] <= least_determinant(x) + (0.1 if g != "g0" else 0.3), g  # without outliers many halves are alike
+
+
 def test_odd_documents_of_a_group_are_rejected(spark, documents):  # noqa: F811
     rng = random.Random(2)
     def text(upper=False):

@@ -1,9 +1,11 @@
 """Quality rules: plain counts, and robust multivariate outliers by the minimum covariance determinant. Column functions only.
 
 Six statistics of a text are transformed to be about normal: log words, log word length, and the logs of the shares of
-signs, distinct words, capitals and punctuation. For each language and source the minimum-covariance-determinant estimate
-is approached by concentration steps: start from medians and median deviations, then again and again take the half of
-the rows that lies nearest and estimate mean and covariance from it alone. Outliers, up to half the rows, have no say.
+signs, distinct words, capitals and punctuation. For each language and source the estimate is the mean and covariance of that half of the rows whose covariance has the least
+determinant. It is approached from six starts, all of which outliers hardly move: medians and median deviations, with the
+correlations of five transforms of the standardised statistics (``_starts``). A concentration step takes the half of the rows
+that lies nearest and estimates anew from it, which never raises the determinant. After two steps from every start the two starts
+with the least determinants go on until it falls no more, and the lower one stands. Outliers, up to half the rows, have no say.
 The estimate is made consistent (median distance against that of chi-squared), refined once with the rows within its
 97.5 % ellipsoid, and texts beyond the ``level`` quantile of chi-squared in Mahalanobis distance are rejected. The small groups
 of a language, of fewer than ``least_rows`` rows, are one group, and so are all those of small languages.
@@ -16,7 +18,8 @@ small differences into outliers.
 
 A NULL text has no words. Texts that fail the plain rules are neither learned from nor judged further. NULL languages
 and sources are groups of their own. Rows are judged one by one and learned from as often as they occur; rows at equal
-distance are all kept or all rejected. Empty tables give empty results. Of the columns only id, text, language and source are read.
+distance are all kept or all rejected. Empty tables give empty results. Of the columns only text, language and source are read;
+the others are carried, and one that has the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import salted_lookup, staged, table
@@ -128,11 +131,8 @@ def chi_squared_quantile(p: float, d: int = _D) -> float:
     return d * (1 - c + NormalDist().inv_cdf(p) * math.sqrt(c)) ** 3
 
 
-def _estimate(rows: DataFrame) -> DataFrame:
-    """Mean of each group and the inverse of the covariance's Cholesky factor, each step a set of columns."""
-    sums = [F.avg(x).alias(f"m_{x}") for x in _X]
-    sums += [(F.covar_pop(_X[i], _X[j]) + (STATISTICS[_X[i]] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS]
-    out = rows.groupBy("group").agg(*sums)
+def _factors(out: DataFrame) -> DataFrame:
+    """With the inverse of the Cholesky factor of the covariances ``c_i_j``, each step a set of columns, and ``logdet``."""
     for j in range(_D):
         for i in range(j, _D):
             rest = F.col(f"c_{i}_{j}")
@@ -149,39 +149,118 @@ def _estimate(rows: DataFrame) -> DataFrame:
                     value = value - F.col(f"l_{i}_{k}") * F.col(f"v_{k}_{j}")
                 value = value / F.col(f"l_{i}_{i}")
             out = out.withColumn(f"v_{i}_{j}", value)
-    return staged(out.select("group", *[f"m_{x}" for x in _X], *[f"v_{i}_{j}" for i, j in _PAIRS]), "mcd")
+    logdet = sum((2 * F.log(f"l_{i}_{i}") for i in range(_D)), F.lit(0.0))
+    return out.withColumn("logdet", logdet)
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """The rows with their squared Mahalanobis distance."""
-    joined = salted_lookup(rows, estimate, "group", "inner")
+_FACTORS = tuple(f"v_{i}_{j}" for i, j in _PAIRS)
+
+
+def _estimate(rows: DataFrame, key: str = "group") -> DataFrame:
+    """Of each group the mean, the inverse factor of the covariance and the logarithm of its determinant."""
+    sums = [F.avg(x).alias(f"m_{x}") for x in _X]
+    sums += [(F.covar_pop(_X[i], _X[j]) + (STATISTICS[_X[i]] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS]
+    out = _factors(rows.groupBy(key).agg(*sums))
+    return staged(out.select(key, *[f"m_{x}" for x in _X], *_FACTORS, "logdet"), "mcd")
+
+
+def _squared(of: dict[str, Column]) -> Column:
+    """Squared length of the inverse factor times the values of the statistics."""
     total = F.lit(0.0)
     for i in range(_D):
         y = F.lit(0.0)
         for j in range(i + 1):
-            y = y + F.col(f"v_{i}_{j}") * (F.col(_X[j]) - F.col(f"m_{_X[j]}"))
+            y = y + F.col(f"v_{i}_{j}") * of[_X[j]]
         total = total + y * y
-    return joined.select(*rows.columns, total.alias("distance"))
+    return total
+
 
+def _with_distance(rows: DataFrame, estimate: DataFrame, key: str = "group") -> DataFrame:
+    """The rows with their squared Mahalanobis distance."""
+    joined = salted_lookup(rows, estimate.drop("logdet"), key, "inner")
+    distance = _squared({x: F.col(x) - F.col(f"m_{x}") for x in _X})
+    return joined.select(*rows.columns, distance.alias("distance"))
 
-def _quantile(rows: DataFrame, share: float) -> DataFrame:
-    return staged(rows.groupBy("group").agg(F.percentile_approx("distance", share, 10_000).alias("cut")), "mcd-cut")
 
+def _quantile(rows: DataFrame, share: float, key: str = "group") -> DataFrame:
+    return staged(rows.groupBy(key).agg(F.percentile_approx("distance", share, 10_000).alias("cut")), "mcd-cut")
 
-def estimate_groups(rows: DataFrame, steps: int = 3) -> DataFrame:
-    """Robust estimate of each ``group`` of ``rows``: its columns and ``factor``, by which squared distances are divided."""
+
+def _nearest_half(near: DataFrame, key: str) -> DataFrame:
+    return salted_lookup(near, _quantile(near, 0.5, key), key, "inner").where("distance <= cut")
+
+
+def _starts(z: dict[str, Column]) -> list[dict[str, Column]]:
+    """Transforms of standardised statistics that bound what a row adds to a covariance, beside none at all (the first)."""
+    size = F.sqrt(sum((v * v for v in z.values()), F.lit(1e-12)))
+    return [
+        {x: F.lit(0.0) for x in z},
+        {x: F.tanh(v) for x, v in z.items()},
+        {x: v / size for x, v in z.items()},
+        {x: F.greatest(F.least(v, F.lit(1.5)), F.lit(-1.5)) for x, v in z.items()},
+        {x: F.signum(v) for x, v in z.items()},
+        {x: v * F.least(F.lit(1.0), math.sqrt(_D) / size) for x, v in z.items()},
+    ]
+
+
+def _first_trials(rows: DataFrame) -> DataFrame:
+    """Each row once for each start, with ``trial`` (start and group) and its distance by that start."""
     middle = staged(rows.groupBy("group").agg(*[F.percentile_approx(x, 0.5, 10_000).alias(f"m_{x}") for x in _X]), "mcd-start")
     off = salted_lookup(rows, middle, "group", "inner")
     spread = staged(off.groupBy("group").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 10_000).alias(f"s_{x}") for x in _X]), "mcd-start")
     off = salted_lookup(rows, middle.join(spread, "group"), "group", "inner")
-    total = F.lit(0.0)
-    for x, least in STATISTICS.items():
-        z = (F.col(x) - F.col(f"m_{x}")) / F.greatest(1.4826 * F.col(f"s_{x}"), F.lit(least))
-        total = total + z * z
-    near = off.select(*rows.columns, total.alias("distance"))
-    for _ in range(steps):
-        half = salted_lookup(near, _quantile(near, 0.5), "group", "inner").where("distance <= cut")
-        near = _with_distance(rows, _estimate(half))
+    z = {x: (F.col(x) - F.col(f"m_{x}")) / F.greatest(1.4826 * F.col(f"s_{x}"), F.lit(least)) for x, least in STATISTICS.items()}
+    standard = off.select(*rows.columns, *[v.alias(f"z_{x}") for x, v in z.items()])
+    starts = _starts({x: F.col(f"z_{x}") for x in _X})
+    tried = standard.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(len(starts) - 1))))
+    moved = {}
+    for x in _X:
+        value = F.lit(0.0)
+        for n, of in enumerate(starts):
+            value = F.when(F.col("start") == n, of[x]).otherwise(value)
+        moved[f"u_{x}"] = value
+    tried = tried.withColumns(moved).withColumn("trial", F.concat_ws("|", "start", "group"))
+    sums = []
+    for i, j in _PAIRS:
+        c = F.avg(F.col(f"u_{_X[i]}") * F.col(f"u_{_X[j]}"))
+        # The first start has no correlations; the others get a little of the unit matrix, for statistics that never vary.
+        sums.append((c + (F.when(F.first("start") == 0, 1.0).otherwise(0.05) if i == j else 0.0)).alias(f"c_{i}_{j}"))
+    shapes = staged(_factors(tried.groupBy("trial").agg(*sums)).select("trial", *_FACTORS), "mcd-start")
+    joined = salted_lookup(tried, shapes, "trial", "inner")
+    return joined.select(*rows.columns, "trial", _squared({x: F.col(f"z_{x}") for x in _X}).alias("distance"))
+
+
+def _least(estimate: DataFrame, groups: DataFrame, keep: int) -> DataFrame:
+    """(trial, group) of the ``keep`` trials of each group whose determinants are least."""
+    order = Window.partitionBy("group").orderBy("logdet", "trial")
+    ranked = estimate.join(groups, "trial").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= keep).select("trial", "group")
+
+
+def minimum_determinant(rows: DataFrame, first_steps: int = 2, keep: int = 2, most_steps: int = 30) -> DataFrame:
+    """Of each ``group`` of ``rows`` the estimate from the half of least determinant that was found."""
+    near = _first_trials(rows)
+    names = staged(near.select("trial", "group").distinct(), "mcd-trials")
+    for _ in range(first_steps):
+        estimate = _estimate(_nearest_half(near, "trial"), "trial")
+        near = _with_distance(near.drop("distance"), estimate, "trial")
+    chosen = staged(_least(estimate, names, keep), "mcd-trials")
+    per_group = chosen.groupBy("group").agg(F.collect_list("trial").alias("trials"))  # ``keep`` names
+    tried = salted_lookup(rows, per_group, "group", "inner").select(*rows.columns, F.explode("trials").alias("trial"))
+    estimate = estimate.join(chosen.select("trial"), "trial")
+    for _ in range(most_steps):
+        after = _estimate(_nearest_half(_with_distance(tried, estimate, "trial"), "trial"), "trial")
+        fell = estimate.select("trial", F.col("logdet").alias("before")).join(after, "trial").where("logdet < before - 1e-6").limit(1).count()
+        estimate = after
+        if not fell:
+            break
+    best = _least(estimate, names, 1)
+    return staged(estimate.join(best, "trial").drop("trial"), "mcd")
+
+
+def estimate_groups(rows: DataFrame) -> DataFrame:
+    """Robust estimate of each ``group`` of ``rows``: its columns and ``factor``, by which squared distances are divided."""
+    near = _with_distance(rows, minimum_determinant(rows))
     scale = _quantile(near, 0.5).select("group", (F.col("cut") / chi_squared_quantile(0.5)).alias("factor"))
     inner = salted_lookup(near, scale, "group", "inner").where(F.col("distance") <= F.col("factor") * chi_squared_quantile(0.975))
     final = _estimate(inner)
@@ -199,10 +278,17 @@ def judge_quality(
     level: float = 0.999999,
 ) -> DataFrame:
     """``docs`` without its text, with the counts, base_failed, kept and ``distance`` (NULL where the base failed)."""
-    counts = with_statistics(text_counts(docs, text_col)).withColumn("base_failed", base_failed())
+    others = [c for c in docs.columns if c != text_col]
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("_row"),
+        F.col(f"`{text_col}`").alias("_text"),
+        F.col(f"`{lang_col}`").cast("string").alias("_lang"),
+        F.col(f"`{source_col}`").cast("string").alias("_source"),
+    )
+    counts = with_statistics(text_counts(own, "_text")).withColumn("base_failed", base_failed())
     name = lambda c: F.when(F.col(c).isNull(), "-").otherwise(F.concat(F.lit("="), F.col(c)))
-    counts = counts.withColumns({"narrow": F.to_json(F.array(name(lang_col), name(source_col))), "wide": F.to_json(F.array(name(lang_col)))})
-    rows = staged(counts.drop(text_col, "_capitals", "_points", "n_distinct").withColumn("at", F.monotonically_increasing_id()), "quality")
+    counts = counts.withColumns({"narrow": F.to_json(F.array(name("_lang"), name("_source"))), "wide": F.to_json(F.array(name("_lang")))})
+    rows = staged(counts.drop("_text", "_lang", "_source", "_capitals", "_points", "n_distinct").withColumn("at", F.monotonically_increasing_id()), "quality")
     judged = rows.where(~F.col("base_failed"))
     sizes = judged.groupBy("narrow", "wide").count()
     sizes = staged(sizes, "quality-groups")
@@ -214,8 +300,9 @@ def judge_quality(
     cut = chi_squared_quantile(level)
     far = salted_lookup(_with_distance(statistics, estimate.drop("factor")), estimate.select("group", "factor"), "group", "inner")
     far = far.select("at", (F.col("distance") / F.col("factor")).alias("distance"))
-    out = rows.join(far, "at", "left").drop("at", "narrow", "wide", *_X)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cut))
+    out = rows.join(far, "at", "left").withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cut))
+    made = [c for c in out.columns if c not in ("_row", "at", "narrow", "wide", *_X)]
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in others if c not in made], *made)
 
 
 def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
