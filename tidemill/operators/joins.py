@@ -78,15 +78,14 @@ def attach_by_key(
     )
 
 
-def skip_processed(df: DataFrame, processed: DataFrame, key: str, spread: int = 16) -> DataFrame:
+def skip_processed(df: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is not listed in ``processed``; rows with a NULL key are kept.
 
-    The list is repeated ``spread`` times, so that the rows of one large batch are tested in that many
-    partitions. The explicit second column also gives each side its own shuffle, which lets adaptive
-    execution split what is still too large.
+    The rows of each key are counted first, from that column alone, and each key is marked as done or not. The marks are
+    then attached as any features of a key are: through a broadcast for keys with many rows, by an ordinary join for the
+    rest. Nothing is copied, and no batch is tested in one place because it is large.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    done = processed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_salt", salts)
-    salt = F.pmod(_scatter(df), F.lit(spread)).cast("int")
-    rows = df.withColumn("_salt", salt)
-    return rows.join(done, [key, "_salt"], "left_anti").select(*df.columns)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    done = processed.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_done", F.lit(True))
+    marked = attach_by_key(df, counts.join(done, key, "left"), [key], "_rows")
+    return marked.where(F.col("_done").isNull()).select(*df.columns)
