@@ -6,9 +6,11 @@
    threshold (``choose_bands``). A shuffle on band hashes finds representatives that share a bucket. No pair is written:
    each bucket is connected through its least member, and connected buckets form candidate groups.
 3. Candidate groups are verified on the full n-gram sets, all against all. A group of more than ``block_words`` words is
-   dealt into blocks; each pair of blocks is one unit of work, and a block is copied once for each other block, so
-   neither a task nor the shuffle grows with the square of the group. A unit counts partners with an inverted index and
-   returns one row for each member: its number of partners, and the component it belongs to within the unit.
+   dealt into blocks; each pair of blocks is one unit of work, and a block is copied once for each other block. So a task
+   holds two blocks at most, whatever the group, but the texts that are shuffled for a group of w words are about
+   w * w / ``block_words`` words: with the square of the group, from 200,000 words on. Only different n-gram sets count,
+   as copies have been put together. A unit counts partners with an inverted index and returns one row for each member:
+   its number of partners, and the component it belongs to within the unit.
 4. Components over units give the class ids.
 
 The result covers every row. Links are symmetric and complete within candidate groups; recall over all linked pairs is
