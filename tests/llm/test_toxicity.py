@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
+import pytest
 from llm_cases import ODD, documents  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -51,3 +53,36 @@ def test_odd_texts_and_labels(spark, documents):  # noqa: F811
 def test_cut_has_the_best_f1():
     assert toxicity.best_cut(np.array([0.9, 0.8, 0.3, 0.2]), np.array([1, 1, 0, 0])) == (0.8 + 0.3) / 2
     assert toxicity.best_cut(np.array([0.9]), np.array([1])) == 0.5
+
+
+def plain_chain(chain, text):
+    """Probabilities of the categories, one after the other, by loops over the words."""
+    x = [(v - c) / s for v, c, s in zip(form_of(text), chain.centre, chain.scale, strict=True)]
+    out = []
+    for model in chain.models:
+        logit = model.bias + sum(a * b for a, b in zip(x, model.dense, strict=True)) + sum(w for word, w in model.words.items() if word in words_of(text))
+        out.append(1 / (1 + math.exp(-logit)))
+        p = min(max(out[-1], 1e-4), 1 - 1e-4)
+        x = [*x, math.log(p / (1 - p))]
+    return out
+
+
+def test_query_against_loops(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet")
+    chain = toxicity.train_chain(docs, labels, categories())
+    got = {r["doc_id"]: r for r in toxicity.op5_toxicity(spark, folder).collect()}
+    texts = docs.collect()
+    assert len(got) == len(texts)
+    for r in texts:
+        p, row = plain_chain(chain, r["text"]), got[r["doc_id"]]
+        assert (row["p_low_quality"], row["p_toxic"]) == pytest.approx(tuple(p), rel=1e-6, abs=1e-9)
+        assert row["toxic"] == (row["p_toxic"] >= chain.cuts[1])
+
+
+def test_rows_of_one_id_are_bounded(spark, documents):  # noqa: F811
+    docs = documents([(i % 2, f"words of text {i}", "en", "a") for i in range(300)])
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    few = toxicity.train_chain(docs, labels, categories(), most_rows=20)
+    assert few.centre.shape == toxicity.train_chain(docs.repartition(7), labels, categories(), most_rows=20).centre.shape
+    assert np.allclose(few.centre, toxicity.train_chain(docs.repartition(7), labels, categories(), most_rows=20).centre)

@@ -197,9 +197,11 @@ def train_chain(
             })
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")
-    found = rows.mapInPandas(inputs, "draw long, y array<int>, form array<double>, words array<string>").toArrow().to_pylist()
-    found.sort(key=lambda r: (r["draw"], r["words"]))
-    found = found[:most_rows]  # ids may repeat among the documents
+    seen = rows.mapInPandas(inputs, "draw long, y array<int>, form array<double>, words array<string>")
+    # Ids may repeat among the documents, so rows are bounded by the tasks too, before the driver gets any.
+    seen = seen.withColumn("key", F.xxhash64("words", "form")).orderBy("draw", "key").limit(most_rows).drop("key")
+    found = seen.toArrow().to_pylist()
+    found.sort(key=lambda r: (r["draw"], r["words"], r["form"]))
     y = np.array([r["y"] for r in found]).reshape(len(found), len(names))
     return Chain.fit(names, [r["words"] for r in found], np.array([r["form"] for r in found]), y)
 
