@@ -91,19 +91,19 @@ def least_determinant(x, starts=400):
 
 
 def test_the_least_determinant_is_found(spark):
-    """Small groups with 30 to 45 % of clustered outliers, against very many random starts."""
+    """Small groups with 30 to 45 % of outliers in a cluster of its own, as wide as the rest, against very many random starts."""
     rng = np.random.default_rng(9)
     groups, rows = {}, []
     for g, share in enumerate((0.0, 0.3, 0.38, 0.45)):
         mix = rng.normal(size=(6, 6)) * 0.7 + np.eye(6) * 2
         bad = int(100 * share)
-        x = np.vstack([rng.normal(size=(100 - bad, 6)) @ mix, rng.normal(size=(bad, 6)) * 0.4 + rng.normal(size=6) * 6])
+        x = np.vstack([rng.normal(size=(100 - bad, 6)) @ mix, rng.normal(size=(bad, 6)) @ mix + rng.normal(size=6) * 8])
         groups[f"g{g}"] = x
         rows += [(f"g{g}", *map(float, r)) for r in x]
     df = spark.createDataFrame(rows, "group string, " + ", ".join(f"{x} double" for x in outliers.STATISTICS)).repartition(3)
     found = {r["group"]: r["logdet"] for r in outliers.minimum_determinant(df).collect()}
     for g, x in groups.items():
-        assert found[g] <= least_determinant(x) + (0.1 if g != "g0" else 0.3), g  # without outliers many halves are alike
+        assert found[g] <= least_determinant(x) + 0.4, g  # of so few rows many halves are about alike
 
 
 def test_odd_documents_of_a_group_are_rejected(spark, documents):  # noqa: F811
