@@ -9,7 +9,8 @@ is one look into memory.
 Training is one shuffle of n-gram hashes, each task adding up its own first, by the stretch of the filter that all levels
 of an n-gram lie in; a task adds up the counts of a stretch and packs it into as many words as its entries need at
 ``_ENTRY_BITS`` bits each, so that a probe for an absent entry hits with a probability under 1 % at any size of the input.
-A filter of at most ``most_bytes`` is broadcast. A larger one stays in its stretches: texts are dealt into runs, the distinct
+A filter of at most ``most_bytes`` is broadcast: 128 MB, of which the driver holds three copies for a while and an
+executor one for each of its Python workers. A larger one stays in its stretches: texts are dealt into runs, the distinct
 n-grams of a run are sent to the stretches they lie in, and their levels come back to the run. Both ways read the same
 bits, so scores do not depend on which is taken. There the texts are shuffled once.
 
@@ -36,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import WordHashes, crc_of, encoded, mixed, staged, table
+from tidemill.llm.common import WordHashes, crc_of, encoded, in_small_batches, mixed, staged, table
 
 _ONE = np.uint64(1)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = 1 << 14  # words of a stretch, where the caller sets the size of the filter
-_STRETCH_TOKENS = 1 << 17  # tokens for each stretch, where its entries set its size
+_STRETCH_TOKENS = 1 << 19  # tokens for each stretch, where its entries set its size: a few MB
 _ENTRY_BITS = 14  # bits of the filter for each entry
-_RUN_CHARS = 4_000_000
+_RUN_CHARS = 16_000_000
 END = b" "  # no word holds a space
 
 
@@ -70,7 +71,7 @@ def _bigrams(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed(before * _PAIR + tokens) | _ONE
 
 
-def _runs(texts: Iterable, chars: int = 8_000_000) -> Iterator[list]:
+def _runs(texts: Iterable, chars: int = 3_000_000) -> Iterator[list]:
     run, size = [], 0
     for text in texts:
         run.append(text)
@@ -84,7 +85,7 @@ def _runs(texts: Iterable, chars: int = 8_000_000) -> Iterator[list]:
 
 def _count(orders: tuple[int, ...]):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = WordHashes(100_000)
         for batch in batches:
             for run in _runs(batch["text"]):
                 tokens, lengths = _tokens(run, hashes)
@@ -153,12 +154,12 @@ def filter_parts(counts: DataFrame, stretches: int, least: int = 0, entry_bits:
 class Filter:
     """All stretches, one after the other; a stretch without entries has one empty word."""
 
-    def __init__(self, parts: dict[int, bytes], stretches: int):
-        self.sizes = np.array([max(1, len(parts.get(i, b"")) // 8) for i in range(stretches)], np.int64)
+    def __init__(self, parts: dict[int, np.ndarray], stretches: int):
+        self.sizes = np.array([max(1, len(parts.get(i, ()))) for i in range(stretches)], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.words = np.zeros(self.sizes.sum(), np.uint64)
         for i, packed in parts.items():
-            self.words[self.starts[i] : self.starts[i] + self.sizes[i]] = np.frombuffer(packed, np.uint64)
+            self.words[self.starts[i] : self.starts[i] + self.sizes[i]] = packed
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         stretch = _stretch(grams, len(self.sizes))
@@ -166,7 +167,8 @@ class Filter:
 
 
 def collected(parts: DataFrame, stretches: int) -> Filter:
-    return Filter({r["stretch"]: r["packed"] for r in parts.toArrow().to_pylist()}, stretches)
+    rows = parts.toArrow()
+    return Filter({i.as_py(): np.frombuffer(p.as_buffer(), np.uint64) for i, p in zip(rows["stretch"], rows["packed"], strict=True)}, stretches)
 
 
 def build_filter(counts: DataFrame, tokens: int, bits_per_token: float = 4.0, most_bytes: int = 1 << 28) -> np.ndarray:
@@ -234,7 +236,7 @@ _SCORED = "struct<n_tokens:long,score:double,known:long,logs:double,rare:array<s
 
 @lru_cache(maxsize=1)
 def _hashes(shared) -> WordHashes:
-    return WordHashes()
+    return WordHashes(100_000)
 
 
 def _scored(model: Model, hashes: WordHashes, tokens: np.ndarray, lengths: np.ndarray, levels: Callable) -> pa.StructArray:
@@ -291,11 +293,11 @@ def _ask(stretches: int):
 def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
     """The levels of the n-grams asked of a stretch, a byte for each."""
     packed = np.frombuffer(part["packed"][0].as_py(), np.uint64) if part.num_rows else np.zeros(1, np.uint64)
-    answers = []
-    for sent in asked["grams"].to_pylist():
-        grams = np.frombuffer(sent, np.uint64)
-        level = _levels(packed, grams, np.zeros(len(grams), np.int64), np.full(len(grams), len(packed)))
-        answers.append(level.astype(np.uint8).tobytes())
+    sent = asked["grams"].to_pylist()
+    grams = np.frombuffer(b"".join(sent), np.uint64)
+    level = _levels(packed, grams, np.zeros(len(grams), np.int64), np.full(len(grams), len(packed))).astype(np.uint8).tobytes()
+    ends = np.cumsum([0, *(len(s) // 8 for s in sent)]).tolist()
+    answers = [level[a:b] for a, b in zip(ends, ends[1:], strict=False)]
     return pa.table({"run": asked["run"].cast(pa.int64()), "stretch": asked["stretch"].cast(pa.int64()), "levels": pa.array(answers, pa.binary())})
 
 
@@ -348,13 +350,14 @@ def score_texts(
     text_col: str = "text",
     prior: float = 8.0,
     bits_per_token: float = 0.0,
-    most_bytes: int = 1 << 25,
+    most_bytes: int = 1 << 27,
     most_head: int = 500_000,
 ) -> DataFrame:
     """Per row: id, n_tokens, n_known, train_tokens, base_score, score. ``train`` says which rows are learned from.
 
     The filter has at least ``bits_per_token`` bits for each training token, and is broadcast up to ``most_bytes``.
     """
+    in_small_batches(spark)
     texts = docs.where(train).select(F.col(text_col).alias("text"))
     unigrams = staged(ngram_counts(texts, (1,)), "unigrams")
     total = unigrams.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -376,6 +379,7 @@ def score_texts(
     else:
         found = _scored_in_stretches(shared, rows, parts, stretches, chars)
     scored = staged(found, "scored")
+    shared.destroy()
     rare = (
         scored.select("at", F.explode("rare").alias("w"))
         .select("at", "w.gram", F.col("w.n").alias("times"))
