@@ -5,7 +5,7 @@ signs, distinct words, capitals and punctuation. For each language and source th
 determinant. It is approached from six starts, all of which outliers hardly move: medians and median deviations, with the
 correlations of five transforms of the standardised statistics (``_starts``). A concentration step takes the half of the rows
 that lies nearest and estimates anew from it, which never raises the determinant. After two steps from every start the two starts
-with the least determinants go on until it falls no more, and the lower one stands. Outliers, up to half the rows, have no say.
+with the least determinants go on until it falls by less than 0.0001 (logarithm), and the lower one stands. Outliers, up to half the rows, have no say.
 The estimate is made consistent (median distance against that of chi-squared), refined once with the rows within its
 97.5 % ellipsoid, and texts beyond the ``level`` quantile of chi-squared in Mahalanobis distance are rejected. The small groups
 of a language, of fewer than ``least_rows`` rows, are one group, and so are all those of small languages.
@@ -34,6 +34,7 @@ from tidemill.llm.common import salted_lookup, staged, table
 
 _BLANK = r"[\x20\x09-\x0D]+"
 _WINDOW = 5
+_FEW = 1000
 
 #: Statistics and their least spread (standard deviation).
 STATISTICS = {"words": 0.5, "length": 0.1, "signs": 0.3, "distinct": 0.15, "capitals": 0.3, "points": 0.3}
@@ -175,9 +176,14 @@ def _squared(of: dict[str, Column]) -> Column:
     return total
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame, key: str = "group") -> DataFrame:
+def _lookup(rows: DataFrame, of_groups: DataFrame, key: str, few: bool) -> DataFrame:
+    """Join of what is known of each group; broadcast if there are at most ``_FEW`` groups, by count (a few MB), else salted."""
+    return rows.join(F.broadcast(of_groups), key) if few else salted_lookup(rows, of_groups, key, "inner")
+
+
+def _with_distance(rows: DataFrame, estimate: DataFrame, key: str = "group", few: bool = False) -> DataFrame:
     """The rows with their squared Mahalanobis distance."""
-    joined = salted_lookup(rows, estimate.drop("logdet"), key, "inner")
+    joined = _lookup(rows, estimate.drop("logdet"), key, few)
     distance = _squared({x: F.col(x) - F.col(f"m_{x}") for x in _X})
     return joined.select(*rows.columns, distance.alias("distance"))
 
@@ -186,8 +192,8 @@ def _quantile(rows: DataFrame, share: float, key: str = "group") -> DataFrame:
     return staged(rows.groupBy(key).agg(F.percentile_approx("distance", share, 10_000).alias("cut")), "mcd-cut")
 
 
-def _nearest_half(near: DataFrame, key: str) -> DataFrame:
-    return salted_lookup(near, _quantile(near, 0.5, key), key, "inner").where("distance <= cut")
+def _nearest_half(near: DataFrame, key: str, few: bool) -> DataFrame:
+    return _lookup(near, _quantile(near, 0.5, key), key, few).where("distance <= cut")
 
 
 def _starts(z: dict[str, Column]) -> list[dict[str, Column]]:
@@ -203,12 +209,12 @@ def _starts(z: dict[str, Column]) -> list[dict[str, Column]]:
     ]
 
 
-def _first_trials(rows: DataFrame) -> DataFrame:
+def _first_trials(rows: DataFrame, few: bool) -> DataFrame:
     """Each row once for each start, with ``trial`` (start and group) and its distance by that start."""
     middle = staged(rows.groupBy("group").agg(*[F.percentile_approx(x, 0.5, 10_000).alias(f"m_{x}") for x in _X]), "mcd-start")
-    off = salted_lookup(rows, middle, "group", "inner")
+    off = _lookup(rows, middle, "group", few)
     spread = staged(off.groupBy("group").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5, 10_000).alias(f"s_{x}") for x in _X]), "mcd-start")
-    off = salted_lookup(rows, middle.join(spread, "group"), "group", "inner")
+    off = _lookup(rows, staged(middle.join(spread, "group"), "mcd-start"), "group", few)
     z = {x: (F.col(x) - F.col(f"m_{x}")) / F.greatest(1.4826 * F.col(f"s_{x}"), F.lit(least)) for x, least in STATISTICS.items()}
     standard = off.select(*rows.columns, *[v.alias(f"z_{x}") for x, v in z.items()])
     starts = _starts({x: F.col(f"z_{x}") for x in _X})
@@ -226,7 +232,7 @@ def _first_trials(rows: DataFrame) -> DataFrame:
         # The first start has no correlations; the others get a little of the unit matrix, for statistics that never vary.
         sums.append((c + (F.when(F.first("start") == 0, 1.0).otherwise(0.05) if i == j else 0.0)).alias(f"c_{i}_{j}"))
     shapes = staged(_factors(tried.groupBy("trial").agg(*sums)).select("trial", *_FACTORS), "mcd-start")
-    joined = salted_lookup(tried, shapes, "trial", "inner")
+    joined = _lookup(tried, shapes, "trial", few)
     return joined.select(*rows.columns, "trial", _squared({x: F.col(f"z_{x}") for x in _X}).alias("distance"))
 
 
@@ -237,20 +243,25 @@ def _least(estimate: DataFrame, groups: DataFrame, keep: int) -> DataFrame:
     return ranked.where(F.col("rank") <= keep).select("trial", "group")
 
 
-def minimum_determinant(rows: DataFrame, first_steps: int = 2, keep: int = 2, most_steps: int = 30) -> DataFrame:
-    """Of each ``group`` of ``rows`` the estimate from the half of least determinant that was found."""
-    near = _first_trials(rows)
+def minimum_determinant(
+    rows: DataFrame, few: bool = False, first_steps: int = 2, keep: int = 2, most_steps: int = 12, least_fall: float = 1e-4
+) -> DataFrame:
+    """Of each ``group`` of ``rows`` the estimate from the half of least determinant that was found.
+
+    Steps end when none has lowered the logarithm of a determinant by ``least_fall``, or after ``most_steps``.
+    """
+    near = _first_trials(rows, few)
     names = staged(near.select("trial", "group").distinct(), "mcd-trials")
     for _ in range(first_steps):
-        estimate = _estimate(_nearest_half(near, "trial"), "trial")
-        near = _with_distance(near.drop("distance"), estimate, "trial")
+        estimate = _estimate(_nearest_half(near, "trial", few), "trial")
+        near = _with_distance(near.drop("distance"), estimate, "trial", few)
     chosen = staged(_least(estimate, names, keep), "mcd-trials")
     per_group = chosen.groupBy("group").agg(F.collect_list("trial").alias("trials"))  # ``keep`` names
-    tried = salted_lookup(rows, per_group, "group", "inner").select(*rows.columns, F.explode("trials").alias("trial"))
-    estimate = estimate.join(chosen.select("trial"), "trial")
+    tried = _lookup(rows, staged(per_group, "mcd-trials"), "group", few).select(*rows.columns, F.explode("trials").alias("trial"))
+    estimate = staged(estimate.join(chosen.select("trial"), "trial"), "mcd")
     for _ in range(most_steps):
-        after = _estimate(_nearest_half(_with_distance(tried, estimate, "trial"), "trial"), "trial")
-        fell = estimate.select("trial", F.col("logdet").alias("before")).join(after, "trial").where("logdet < before - 1e-6").limit(1).count()
+        after = _estimate(_nearest_half(_with_distance(tried, estimate, "trial", few), "trial", few), "trial")
+        fell = estimate.select("trial", F.col("logdet").alias("before")).join(after, "trial").where(F.col("logdet") < F.col("before") - least_fall).limit(1).count()
         estimate = after
         if not fell:
             break
@@ -260,11 +271,12 @@ def minimum_determinant(rows: DataFrame, first_steps: int = 2, keep: int = 2, mo
 
 def estimate_groups(rows: DataFrame) -> DataFrame:
     """Robust estimate of each ``group`` of ``rows``: its columns and ``factor``, by which squared distances are divided."""
-    near = _with_distance(rows, minimum_determinant(rows))
+    few = rows.select("group").distinct().limit(_FEW + 1).count() <= _FEW
+    near = _with_distance(rows, minimum_determinant(rows, few), few=few)
     scale = _quantile(near, 0.5).select("group", (F.col("cut") / chi_squared_quantile(0.5)).alias("factor"))
-    inner = salted_lookup(near, scale, "group", "inner").where(F.col("distance") <= F.col("factor") * chi_squared_quantile(0.975))
+    inner = _lookup(near, scale, "group", few).where(F.col("distance") <= F.col("factor") * chi_squared_quantile(0.975))
     final = _estimate(inner)
-    scale = _quantile(_with_distance(rows, final), 0.5)
+    scale = _quantile(_with_distance(rows, final, few=few), 0.5)
     factor = F.greatest(F.col("cut") / chi_squared_quantile(0.5), F.lit(1.0))
     return final.join(scale.select("group", factor.alias("factor")), "group")
 
