@@ -235,7 +235,8 @@ _SCORED = "struct<n_tokens:long,score:double,known:long,logs:double,rare:array<s
 
 
 @lru_cache(maxsize=1)
-def _hashes(shared) -> WordHashes:
+def _hashes() -> WordHashes:
+    """Of a worker; not kept by broadcast, whose filter would stay with it."""
     return WordHashes(100_000)
 
 
@@ -263,8 +264,8 @@ def _scored(model: Model, hashes: WordHashes, tokens: np.ndarray, lengths: np.nd
 
 def _score_udf(shared):
     def scored(texts: pa.Array) -> pa.Array:
-        hashes, model = _hashes(shared), shared.value
-        return pa.concat_arrays([_scored(model, hashes, *_tokens(run, hashes), model.packed.levels) for run in _runs(texts.to_pylist(), 2_000_000)])
+        hashes, model = _hashes(), shared.value
+        return pa.concat_arrays([_scored(model, hashes, *_tokens(run, hashes), model.packed.levels) for run in _runs(texts.to_pylist(), 1_000_000)])
 
     return F.arrow_udf(scored, _SCORED)
 
@@ -303,7 +304,7 @@ def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
 
 def _score_run(shared, stretches: int):
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        hashes = _hashes(shared)
+        hashes = _hashes()
         tokens, lengths = _tokens(rows["text"].to_pylist(), hashes)
         grams = _wanted(tokens, lengths, np.uint64(hashes[END]) & ~_ONE)
         order = np.argsort(_stretch(grams, stretches), kind="stable")
