@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,6 +201,7 @@ def votes(text: str, kind: int, start: int, end: int, strict: bool) -> str:
 
 
 _CANDIDATES = "array<struct<kind:int,start:int,stop:int,strict:boolean,pattern:string>>"
+_CANDIDATE_ARROW = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("strict", pa.bool_()), ("pattern", pa.string())])
 
 
 def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -360,19 +362,23 @@ def _redacted(text: str | None, spans) -> str | None:
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", threshold: float = 0.5) -> DataFrame:
     """The rows with each span replaced by its kind in brackets, and ``length_col``, if there is one, set anew.
 
-    The rows are written once with their candidates, so nothing has to be joined back.
+    The rows are written once with their candidates, so nothing has to be joined back. Both passes map whole batches of
+    rows, so a worker holds no more than a batch of them; the other columns pass through as they are.
     """
     in_small_batches(docs.sparkSession)
-    text = F.col("row").getField(text_col)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    row = staged(row.withColumn("spans", _spans_udf()(text)), "pii-rows")
+    spans_type = f"row {row.schema['row'].dataType.simpleString()}, spans {_CANDIDATES}"
+    row = staged(row.mapInArrow(_with_spans(text_col), spans_type), "pii-rows")
     counts = pattern_counts(row.select("spans"))
     posterior, _ = estimate_reliabilities(counts)
     weights = train_span_classifier(counts, posterior)
     good = sorted(p for p in counts if _features(p) @ weights >= np.log(threshold / (1 - threshold)))
     accepted = F.array(*[F.lit(p) for p in good]).cast("array<string>")
     chosen = F.filter("spans", lambda s: s["strict"] | F.array_contains(accepted, s["pattern"]))
-    clean = F.when(F.size(chosen) == 0, text).otherwise(_redact_udf()(text, chosen))
+    chosen = F.transform(chosen, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))
+    cleaned = row.select("row", chosen.alias("spans")).mapInArrow(
+        _cleaned(text_col), f"row {row.schema['row'].dataType.simpleString()}, clean string"
+    )
     out = []
     for field in docs.schema.fields:
         if field.name == text_col:
@@ -382,18 +388,30 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
         else:
             value = F.col("row").getField(field.name)
         out.append(value.alias(field.name))
-    return row.withColumn("clean", clean).select(*out)
+    return cleaned.select(*out)
+
+
+def _with_spans(text_col: str):
+    def search(batches):
+        import pyarrow as pa
 
+        for batch in batches:
+            texts = batch.column("row").field(text_col).to_pylist()
+            found = next(_search(iter([pd.DataFrame({"id": 0, "text": pd.Series(texts, dtype=object)})])))["spans"]
+            spans = pa.array(list(found), type=pa.list_(_CANDIDATE_ARROW))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), spans], ["row", "spans"])
 
-def _spans_udf():
-    def spans(texts: pd.Series) -> pd.Series:
-        return next(_search(iter([pd.DataFrame({"id": 0, "text": texts})])))["spans"]
+    return search
 
-    return F.pandas_udf(spans, _CANDIDATES)
 
+def _cleaned(text_col: str):
+    def clean(batches):
+        import pyarrow as pa
 
-def _redact_udf():
-    def cleaned(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([_redacted(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
+        for batch in batches:
+            texts = batch.column("row").field(text_col).to_pylist()
+            spans = batch.column("spans").to_pylist()
+            out = pa.array([t if not s else _redacted(t, s) for t, s in zip(texts, spans, strict=True)], batch.column("row").field(text_col).type)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), out], ["row", "clean"])
 
-    return F.pandas_udf(cleaned, "string")
+    return clean
